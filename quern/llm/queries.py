@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secrets, simhash, substr
+from . import bpe, decontam, quality_rules, secrets, simhash, substr, warc
 from .common import table
 
 
@@ -28,13 +28,25 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_simhash, op9_bpe)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_simhash, op5_warc, op6_decontamination, op7_quality_rules, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": decontam.ORACLE_SQL, "op7_quality_rules": quality_rules.ORACLE_SQL}
