@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,27 @@ BROADCAST_ROWS = 50_000
 SALTS = 64
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application, so that Python workers can import it wherever they start."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="quern-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/quern_package.zip", "w") as z:
+        for f in root.rglob("*.py"):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(f"{folder}/quern_package.zip")
+    _shipped.add(app)
+
+
 def tune(spark: SparkSession) -> None:
-    """Arrow batches small enough for long texts."""
+    """Arrow batches small enough for long texts, and the package on the executors."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
@@ -91,3 +112,31 @@ def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str =
         return df.join(F.broadcast(stats), list(keys), how)
     salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
+
+
+def labelled_sample(labels: DataFrame, column: str, bound: int, where: Column | None = None) -> DataFrame:
+    """doc_id, y: up to bound labelled documents of either class, those with the least hash of their id; 2 * bound rows at most, so
+    they may be broadcast. Null labels are left out; of repeated ones the larger counts."""
+    own = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
+    own = (own if where is None else own.where(where)).groupBy("doc_id").agg(F.max(F.col(column).cast("int")).alias("y"))
+    parts = [own.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
+def fit_logistic(x, y, ridge: float = 1e-2, rounds: int = 60, balanced: bool = True):
+    """Weights of a ridge-penalised logistic regression, the last one the intercept; balanced: classes count alike."""
+    import numpy as np
+
+    x = np.column_stack([x, np.ones(len(x))])
+    each = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y) if balanced else np.ones(len(y))
+    w = np.zeros(x.shape[1])
+    penalty = ridge * np.append(np.ones(x.shape[1] - 1), 1e-6)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (each * (p - y)) / len(y) + penalty * w
+        hess = (x * (each * p * (1 - p))[:, None]).T @ x / len(y) + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(hess, grad)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, quality_rules, secrets, simhash, substr, warc
+from . import bpe, decontam, html, quality, quality_rules, secrets, simhash, substr, toxicity, warc
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substr.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
@@ -40,12 +44,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_simhash, op5_warc, op6_decontamination, op7_quality_rules, op9_bpe)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_html_main_text, op4_simhash, op5_warc, op6_decontamination, op7_quality_rules, op8_quality_classifier, op9_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
