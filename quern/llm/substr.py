@@ -120,9 +120,10 @@ def _sketch(docs: DataFrame, w: int, k: int) -> DataFrame:
 
 
 def _entries(docs: DataFrame, w: int) -> DataFrame:
-    """Suffixes with their contexts (hot null), or whole windows as two hashes (hot true)."""
-    names = ["hot", "key", "key2", "k1", "k2", "starts", "off", "n", "left", "right"]
-    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    """Suffixes with their contexts (hot false), or a digest of their words and two hashes of each whole window (hot true)."""
+    names = ["hot", "key", "key2", "k1", "k2", "starts", "off", "n", "left", "right", "w1", "w2"]
+    longs = pa.list_(pa.int64())
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary(), pa.binary(), longs, longs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,14 +136,14 @@ def _entries(docs: DataFrame, w: int) -> DataFrame:
                         if hashed is None:
                             h = word_hashes(ws)
                             hashed = grams(h, w).view(np.int64).tolist(), grams(_mix(h ^ MULT), w, np.uint64(0xD6E8FEB86659FD93)).view(np.int64).tolist()
-                        for s in range(lo, hi + 1):
-                            x = hashed[0][s], hashed[1][s]
-                            if x in seen:
-                                seen[x].append(s)
-                            else:
-                                seen[x] = starts = [s]
-                                for col, v in zip(out, (True, *x, k1, k2, starts, 0, 0, None, None), strict=True):
-                                    col.append(v)
+                        d = hashlib.blake2b(b" ".join(ws[lo : hi + w]), digest_size=16).digest()
+                        x = int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+                        if x in seen:
+                            seen[x].append(lo)
+                            continue
+                        seen[x] = starts = [lo]
+                        for col, v in zip(out, (True, *x, k1, k2, starts, p - lo, hi - lo, None, None, hashed[0][lo : hi + 1], hashed[1][lo : hi + 1]), strict=True):
+                            col.append(v)
                         continue
                     left, right = b" ".join(ws[lo:p]), b" ".join(ws[p : hi + w])
                     x = (left, right, p - lo, hi - lo)
@@ -150,14 +151,14 @@ def _entries(docs: DataFrame, w: int) -> DataFrame:
                         seen[x].append(lo)
                         continue
                     seen[x] = starts = [lo]
-                    for col, v in zip(out, (False, a["key"], None, k1, k2, starts, p - lo, hi - lo, left, right), strict=True):
+                    for col, v in zip(out, (False, a["key"], None, k1, k2, starts, p - lo, hi - lo, left, right, None, None), strict=True):
                         col.append(v)
                 if len(out[0]) >= 4096:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "hot boolean, key long, key2 long, k1 long, k2 long, starts array<int>, off int, n int, left binary, right binary")
+    return docs.mapInArrow(run, "hot boolean, key long, key2 long, k1 long, k2 long, starts array<int>, off int, n int, left binary, right binary, w1 array<long>, w2 array<long>")
 
 
 def _levels(rows: list[list[int]], depth: int, need: np.ndarray) -> np.ndarray:
@@ -231,6 +232,20 @@ def _trees(entries: DataFrame, w: int, size: int) -> DataFrame:
     return entries.select(*cols).repartition("key").sortWithinPartitions("key").mapInArrow(run, "k1 long, k2 long, a long, b long")
 
 
+def _drawn(entries: DataFrame) -> DataFrame:
+    """k1, k2, runs, of suffixes whose prefixes are drawn out to whole windows. Suffixes with the same words are one block; its windows are
+    compared with those of other blocks, by a combined minimum, and what is found goes back to each suffix of the block."""
+    blocks = entries.groupBy("key", "key2").agg(F.min("k1").alias("least"), F.first("w1").alias("w1"), F.first("w2").alias("w2"))
+    each = cut(blocks.select("key", "key2", "least", F.posexplode(F.arrays_zip("w1", "w2")).alias("j", "x")).select("key", "key2", "least", "j", "x.w1", "x.w2"))
+    best = cut(each.groupBy("w1", "w2").agg(F.min("least").alias("first")))
+    # at most w - k + 1 windows a block
+    of_block = cut(each.join(best, ["w1", "w2"]).groupBy("key", "key2").agg(F.collect_list(F.struct("j", "first")).alias("firsts")))
+    joined = entries.select("key", "key2", "k1", "k2", "starts").join(of_block, ["key", "key2"])
+    js = F.transform(F.filter("firsts", lambda x: x["first"] < F.col("k1")), lambda x: x["j"])
+    pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j).cast("long").alias("a"), (s + j).cast("long").alias("b")))))
+    return joined.select("k1", "k2", pairs.alias("runs")).where(F.size("runs") > 0)
+
+
 def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, group: int = GROUP) -> DataFrame:
     """k1, k2 (see row_key), runs array<struct<a,b>> of window starts that a smaller doc_id has too, copied: all windows of a document
     whose words are those of a document with a smaller doc_id."""
@@ -241,14 +256,12 @@ def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, gro
     marked = join_stats(sketch, copies, ["fold"])
     copied = cut(marked.where("least < k1").select("k1", "k2").distinct())
     each = cut(marked.where("least is null or least = k1").dropDuplicates(["k1", "k2"]).select("k1", "k2", F.explode("anchors").alias("x")).select("k1", "k2", "x.*"))
-    shared = each.groupBy("key").agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count("*").alias("m")).where("least < most").select("key", (F.col("m") > hot).alias("hot"))
+    # what is joined is cut first, so that Spark sees plain exchanges and can split a prefix that a third of all suffixes have
+    shared = cut(each.groupBy("key").agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count("*").alias("m")).where("least < most").select("key", (F.col("m") > hot).alias("hot")))
     found = each.join(shared, "key").groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "p", "lo", "hi", "hot")).alias("found"))
     entries = cut_parquet(_entries(keyed.join(found, ["k1", "k2"]).select("k1", "k2", "text", "found"), w))
-    cold = _trees(entries.where("not hot"), w, group)
-    whole = entries.where("hot").select("key", "key2", "k1", "k2", "starts")
-    first = whole.groupBy("key", "key2").agg(F.min("k1").alias("least"), F.max("k1").alias("most")).where("least < most").select("key", "key2", "least")
-    drawn = whole.join(first, ["key", "key2"]).where("least < k1").select("k1", "k2", F.explode("starts").alias("a")).select("k1", "k2", F.col("a").cast("long").alias("a"), F.col("a").cast("long").alias("b"))
-    runs = cold.unionByName(drawn).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    cold = _trees(entries.where("not hot"), w, group).select("k1", "k2", F.array(F.struct("a", "b")).alias("runs"))
+    runs = cold.unionByName(_drawn(entries.where("hot"))).groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     return cut(runs.withColumn("copied", F.lit(False)).unionByName(copied.select("k1", "k2", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("runs"), F.lit(True).alias("copied"))))
 
 
