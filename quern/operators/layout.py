@@ -1,0 +1,55 @@
+"""Page layout from words and elements: lines, clusters, boilerplate, containment and intersection of boxes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def group_lines(words: DataFrame, page: list[str], tolerance: float = 2.5) -> DataFrame:
+    """Adds line: a new one where the top lies further from the word before than the tolerance, in order of (top, x0)."""
+    w = Window.partitionBy(*page).orderBy("top", "x0")
+    new = F.coalesce(F.abs(F.col("top") - F.lag("top").over(w)) > tolerance, F.lit(False))
+    return words.withColumn("_n", new.cast("int")).withColumn("line", F.sum("_n").over(w)).drop("_n")
+
+
+def cluster_1d(values: DataFrame, key: str, value: str, tolerance: float) -> DataFrame:
+    """key, cluster, center, n: values apart by more than the tolerance begin a cluster."""
+    w = Window.partitionBy(key).orderBy(value)
+    gap = F.coalesce(F.col(value) - F.lag(value).over(w) > tolerance, F.lit(False)).cast("int")
+    marked = values.select(key, value, gap.alias("_g")).withColumn("cluster", F.sum("_g").over(w))
+    return marked.groupBy(key, "cluster").agg(F.avg(value).alias("center"), F.count("*").alias("n"))
+
+
+def boilerplate(lines: DataFrame, doc: str, page: str, line: str, share: float = 0.25) -> DataFrame:
+    """doc, line, n_pages of lines that stand on at least that share of a document's pages."""
+    pages = lines.groupBy(doc).agg(F.countDistinct(page).alias("_all"))
+    seen = lines.groupBy(doc, line).agg(F.countDistinct(page).alias("n_pages"))
+    return seen.join(pages, doc).where(F.col("n_pages") >= share * F.col("_all")).drop("_all")
+
+
+def union_bbox(boxes: DataFrame, key: list[str]) -> DataFrame:
+    return boxes.groupBy(*key).agg(F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"))
+
+
+def centre_in(x0: Column, top: Column, x1: Column, bottom: Column, box: dict[str, Column]) -> Column:
+    cx, cy = (x0 + x1) / 2, (top + bottom) / 2
+    return (cx >= box["x0"]) & (cx <= box["x1"]) & (cy >= box["top"]) & (cy <= box["bottom"])
+
+
+def intersecting(boxes: DataFrame, page: list[str], id_col: str, gap: float) -> DataFrame:
+    """a, b: pairs of boxes of a page that overlap once expanded by the gap; pages are bounded, so the join by page is."""
+    a, b = boxes.alias("a"), boxes.alias("b")
+    same = [F.col(f"a.{p}") == F.col(f"b.{p}") for p in page]
+    near = (F.col("a.x0") - gap < F.col("b.x1") + gap) & (F.col("b.x0") - gap < F.col("a.x1") + gap) & (F.col("a.top") - gap < F.col("b.bottom") + gap) & (F.col("b.top") - gap < F.col("a.bottom") + gap)
+    cond = near & (F.col(f"a.{id_col}") < F.col(f"b.{id_col}"))
+    for s in same:
+        cond &= s
+    return a.join(b, cond).select(*[F.col(f"a.{p}").alias(p) for p in page], F.col(f"a.{id_col}").alias("a"), F.col(f"b.{id_col}").alias("b"))
+
+
+def median_gap(lines: DataFrame, key: list[str], top: str) -> DataFrame:
+    """The upper median of gaps between lines."""
+    w = Window.partitionBy(*key).orderBy(top)
+    gaps = lines.withColumn("_g", F.col(top) - F.lag(top).over(w)).where("_g is not null")
+    return gaps.groupBy(*key).agg(F.sort_array(F.collect_list("_g")).alias("_a")).select(*key, F.get("_a", (F.size("_a") / 2).cast("int")).alias("median_gap"))
