@@ -19,10 +19,11 @@ PATTERNS: dict[str, tuple[str, Callable[[Column], Column]]] = {
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", patterns: dict | None = None) -> DataFrame:
     """id, identifier, rule: distinct; of several rules for an identifier the first by name."""
-    found = [
-        F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(rx), F.lit(0)), lambda x, rule=rule, form=form: F.struct(form(x).alias("identifier"), F.lit(rule).alias("rule")))
-        for rule, (rx, form) in (patterns or PATTERNS).items()
-    ]
+
+    def of(rule: str, rx: str, form: Callable[[Column], Column]) -> Column:
+        return F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(rx), F.lit(0)), lambda x: F.struct(form(x).alias("identifier"), F.lit(rule).alias("rule")))
+
+    found = [of(rule, *x) for rule, x in (patterns or PATTERNS).items()]
     each = docs.select(id_col, F.explode(F.concat(*found)).alias("x"))
     return each.groupBy(id_col, F.col("x.identifier").alias("identifier")).agg(F.min("x.rule").alias("rule"))
 

@@ -16,7 +16,7 @@ def metrics(ranked: DataFrame, query: str, rank: str, match: str, k: int) -> Dat
 
 
 def lint(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, n_headings, n_table_rows, ragged: table rows whose number of bars differs from the document's most frequent one... by counts."""
+    """id, n_headings, n_table_rows, bar_spread: how much the number of bars differs between table rows."""
     bars = F.length("line") - F.length(F.replace("line", F.lit("|")))
     marked = lines.select(id_col, F.when(bars > 0, bars).alias("bars"), F.col("line").rlike(r"^#{1,6} ").cast("int").alias("h"))
     return marked.groupBy(id_col).agg(F.sum("h").alias("n_headings"), F.count("bars").alias("n_table_rows"), (F.max("bars") - F.min("bars")).alias("bar_spread"))
@@ -24,9 +24,8 @@ def lint(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def multiset_delta(a: Column, b: Column) -> Column:
     """How many elements of array a are missing from b, as multisets."""
-    return F.size(F.filter(F.array_distinct(a), lambda x: F.lit(True))) * 0 + F.aggregate(
-        F.array_distinct(a), F.lit(0), lambda s, x: s + F.greatest(F.size(F.filter(a, lambda y: y == x)) - F.size(F.filter(b, lambda y: y == x)), F.lit(0))
-    )
+    count = lambda side, x: F.size(F.filter(side, lambda y: y == x))
+    return F.aggregate(F.array_distinct(a), F.lit(0), lambda s, x: s + F.greatest(count(a, x) - count(b, x), F.lit(0)))
 
 
 def witness(pairs: DataFrame, id_col: str, reference: str, candidate: str) -> DataFrame:

@@ -19,7 +19,8 @@ def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def bm25(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
     """id, score of documents with any term (or every one): lengths and the document count are of all documents, in one pass."""
     own = docs.select(id_col, T.tokens(F.col(text_col)).alias("w"))
-    tf = F.array(*[F.size(F.filter("w", lambda x, t=t: x == t)) for t in terms])
+    times = lambda t: F.size(F.filter("w", lambda x: x == F.lit(t)))
+    tf = F.array(*[times(t) for t in terms])
     counted = own.select(id_col, F.size("w").alias("dl"), tf.alias("tf"))
     stats = counted.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col("tf")[i] > 0).alias(f"df{i}") for i in range(len(terms))])
     has = F.forall("tf", lambda x: x > 0) if every else F.exists("tf", lambda x: x > 0)

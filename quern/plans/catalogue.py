@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from . import corpus_queries, retrieval_queries, text_queries  # noqa: F401  registering them
+from .registry import QUERIES, SQL
+
 
 def queries() -> dict[str, Callable]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
