@@ -95,10 +95,10 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_items: int = MIN_ITEMS) -> DataFrame:
     """The documents that are not contaminated."""
-    bad = hits(docs, benchmark, size).where(F.size("items") >= min_items).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+    bad = hits(docs, benchmark, size).where(F.size("items") >= min_items).select(F.col("k1").alias("__quern_k1"), F.col("k2").alias("__quern_k2"))
     k1, k2 = row_key()
-    keyed = docs.withColumns({"_d1": k1, "_d2": k2})
-    return keyed.join(bad, (F.col("_d1") == F.col("_k1")) & (F.col("_d2") == F.col("_k2")), "left_anti").select(*(docs[c] for c in docs.columns))
+    keyed = docs.withColumns({"__quern_d1": k1, "__quern_d2": k2})
+    return keyed.join(bad, (F.col("__quern_d1") == F.col("__quern_k1")) & (F.col("__quern_d2") == F.col("__quern_k2")), "left_anti").drop("__quern_d1", "__quern_d2")
 
 
 ORACLE_SQL = r"""

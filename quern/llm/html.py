@@ -117,7 +117,10 @@ def contained(page_units: list[tuple]) -> bool:
 
 
 def seen(found: frozenset[str], has: bool) -> frozenset[str]:
-    return found | {"outside"} if has and not found & CONTAINERS else found
+    """The features of a word, with where it stands to the container; on a page without one, a linked list item is a menu's."""
+    if has:
+        return found if found & CONTAINERS else found | {"outside"}
+    return found | {"li>a"} if "li" in found and "a" in found else found
 
 
 @functools.lru_cache(1)
@@ -144,8 +147,10 @@ def weights() -> tuple[dict[str, float], dict[str, float]]:
 BASE, LEAST, MOST = 1.0, -4.0, 2.0
 #: How much a tag counts beside a word: a paragraph of one word must not be lost to its own tags.
 TAG_SHARE = 0.25
+#: The least score of a piece of text.
+DEEPEST = -8.0
 #: Elements that say nothing about the text in them.
-NEUTRAL = frozenset("html body div span section p b i em strong a br h1 h2 h3 h4 h5 h6 header".split())
+NEUTRAL = frozenset("html body div span section p b i em strong a br ul ol li h1 h2 h3 h4 h5 h6 header".split())
 
 
 def word_score(found: frozenset[str], word: dict[str, float], has: bool) -> float:
@@ -173,7 +178,9 @@ def extract(page: str | None) -> str:
             s = of.get(u[2])
             if s is None:
                 s = of[u[2]] = word_score(u[2], word, has)
-            scores.append(s * len(u[1].split()))
+            n = len(u[1].split())
+            # what is left out anyway must not cut a page in two: it counts next to nothing in a container, and is bounded elsewhere
+            scores.append(s * n if s >= 0 else -0.02 * n if u[2] & CONTAINERS else max(DEEPEST, s * n))
         else:
             scores.append(-cost.get(u[1], 0.5) * (0.5 if u[1] in ("br", "hr") else 1.0))
     best, a, b, total, start = 0.0, 0, 0, 0.0, 0
@@ -184,9 +191,9 @@ def extract(page: str | None) -> str:
         if total > best:
             best, a, b = total, start, i + 1
     blocks, piece = [], []
-    for u, s in zip(us[a:b], scores[a:b], strict=True):
+    for u in us[a:b]:
         if u[0] == "text":
-            if s >= 0 and of[u[2]] > 0:
+            if of[u[2]] > 0:
                 piece.append(entities.unescape(u[1]))
         elif u[3]:
             blocks.append("".join(piece))

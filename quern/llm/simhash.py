@@ -152,6 +152,6 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest doc_id stays. Repeated rows of that id count as
     copies, the one with the least text hash stays; rows without a doc_id stay as they are."""
     own = classes(docs, radius, shingle)
-    keep = own.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs.doc_id == F.col("_keep"), "left_semi")
+    keep = own.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__quern_keep")).distinct()
+    kept = docs.join(keep, docs.doc_id == keep["__quern_keep"], "left_semi")
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
