@@ -11,8 +11,9 @@ from quern.llm import bpe, decontam, quality, secrets, simhash
 from quern.llm.common import shared_dir, table
 from quern.llm.queries import tokenizer_path
 
-#: SimHash near-duplicates in the pipeline are taken on shingles of so many words, a contract of the operator's query is on three.
-SHINGLE = 5
+#: Near-duplicates: words of a shingle and least similarity. Decontamination: one item with an occurring window is enough here.
+SHINGLE, SIMILARITY = 5, 0.8
+MIN_ITEMS = 1
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,11 +21,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, shingle=SHINGLE)
+    return simhash.keep_one(docs, SIMILARITY, shingle=SHINGLE)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), min_items=MIN_ITEMS)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
