@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, join_stats, tune
+from .common import cut, cut_parquet, join_stats, tune
 
 BITS, SEED = 64, 42
 #: Fingerprints in a bucket from which it is split.
@@ -148,10 +148,92 @@ def digest(docs: DataFrame) -> DataFrame:
     return classes(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """The documents without near copies: of each component the row with the smallest doc_id stays. Repeated rows of that id count as
-    copies, the one with the least text hash stays; rows without a doc_id stay as they are."""
-    own = classes(docs, radius, shingle)
+#: Shingles of a cell, cells of a document at most, and hashes of its sketch.
+CELL, CELLS, SKETCH = 4, 24, 128
+
+
+def cells(text: str | None, shingle: int) -> tuple[bytes, int, bytes, list[tuple[int, int, int]]]:
+    """A digest of the words, the number of distinct shingles, the sketch (their least hashes), and (level, cell, fingerprint) of cells.
+
+    Similar texts differ in too many bits of one fingerprint of 64 to fit a small radius, so the shingles are dealt to 2^level cells of
+    CELL shingles or more by their hash, and each cell gets a fingerprint. Of two texts with a similarity of 0.8 a cell of four to eight
+    shingles is the same with a chance of 0.17 to 0.41, so some of 24 is with a chance of 0.99 or more. The level follows the number of
+    shingles; where a text a quarter longer has another level, both are given, so that similar texts of any length meet."""
+    h = np.unique(hashes(text, shingle))
+    digest = xxhash.xxh128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
+    mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    sketch = np.sort(mixed)[:SKETCH].astype("<u8").tobytes()
+    level = lambda n: max(0, int(np.log2(max(1.0, n / CELL))))
+    out = []
+    for lv in sorted({level(len(h)), level(1.25 * len(h))} if len(h) else ()):
+        of = (mixed >> np.uint64(20)) & np.uint64((1 << lv) - 1)
+        on = np.flatnonzero(of < CELLS)
+        on = on[np.argsort(of[on], kind="stable")]
+        if not len(on):
+            continue
+        starts = np.flatnonzero(np.diff(of[on], prepend=np.uint64(1 << 40)))
+        bits = np.unpackbits(h[on].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+        ones, n = np.add.reduceat(bits, starts, axis=0), np.diff(np.append(starts, len(on)))
+        fps = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
+        out += [(lv, int(c), int(f)) for c, f in zip(of[on][starts], fps, strict=True)]
+    return digest, len(h), sketch, out
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity from two sketches: the share of their union's least hashes that both have; exact for short texts."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    union = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        union = union[:SKETCH]
+    both = np.intersect1d(np.intersect1d(x, y), union)
+    return len(both) / len(union) if len(union) else 1.0
+
+
+def similar_classes(docs: DataFrame, least: float = 0.8, radius: int = 3, shingle: int = 5) -> DataFrame:
+    """doc_id, component_id of every row with a doc_id: texts are linked whose fingerprints are within the radius, or that share the
+    fingerprint of a cell and have the similarity. In a shared cell each document is held against the first one, so links grow
+    with the documents and not with the pairs; with up to 24 cells a document meets several first ones of its class."""
+    tune(docs.sparkSession)
+    kind = pa.list_(pa.struct([("level", pa.int32()), ("cell", pa.int32()), ("cfp", pa.int64())]))
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [cells(t.as_py(), shingle) for t in b["text"]]
+            cs = [[{"level": x, "cell": y, "cfp": z} for x, y, z in r[3]] for r in rows]
+            fp = [np.uint64(fingerprint(t.as_py(), shingle)).astype(np.int64) for t in b["text"]]
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()), pa.array(fp, pa.int64()), pa.array(cs, kind)], ["doc_id", "same", "sketch", "fp", "cells"])
+
+    own = cut_parquet(docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(sketch, "doc_id long, same binary, sketch binary, fp long, cells array<struct<level:int,cell:int,cfp:long>>"))
+    # equal texts are folded into the smallest id before anything is compared
+    reps = cut(own.groupBy("same").agg(F.min("doc_id").alias("rep")))
+    texts = own.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    each = texts.select("doc_id", F.explode("cells").alias("x")).select("doc_id", "x.level", "x.cell", "x.cfp")
+    key = ["level", "cell", "cfp"]
+    shared = cut(each.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("m")).where("m > 1").select(*key, "first"))
+    pairs = each.join(shared, key).where("doc_id > first").select("doc_id", "first").distinct()
+    sketches = texts.select("doc_id", "sketch")
+    two = pairs.join(sketches, "doc_id").withColumnRenamed("sketch", "sketch_a").join(sketches.select(F.col("doc_id").alias("first"), F.col("sketch").alias("sketch_b")), "first")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [similarity(x, y) >= least for x, y in zip(b["sketch_a"].to_pylist(), b["sketch_b"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b["first"].filter(pa.array(near, pa.bool_())), b["doc_id"].filter(pa.array(near, pa.bool_()))], ["a", "b"])
+
+    near = two.select("first", "doc_id", "sketch_a", "sketch_b").mapInArrow(verify, "a long, b long")
+    fps = cut(texts.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("m")))
+    by_fp = links(fps.select("fp"), radius)
+    name = fps.select("fp", "first")
+    linked = by_fp.join(name.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(name.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = texts.join(fps.where("m > 1").select("fp", "first"), "fp").where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    comp = components(near.unionByName(linked).unionByName(equal)).select(F.col("node").alias("rep"), "root")
+    named = reps.join(comp, "rep", "left").select("same", F.coalesce("root", "rep").alias("component_id"))
+    return own.select("doc_id", "same").join(cut(named), "same").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, least: float = 0.8, radius: int = 3, shingle: int = 5) -> DataFrame:
+    """The documents without near copies: of each class of similar_classes() the row with the smallest doc_id stays. Repeated rows of
+    that id count as copies, one of them stays; rows without a doc_id stay as they are."""
+    own = similar_classes(docs, least, radius, shingle)
     keep = own.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__quern_keep")).distinct()
     kept = docs.join(keep, docs.doc_id == keep["__quern_keep"], "left_semi")
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
