@@ -233,15 +233,16 @@ def _trees(entries: DataFrame, w: int, size: int) -> DataFrame:
 
 
 def _drawn(entries: DataFrame) -> DataFrame:
-    """k1, k2, runs, of suffixes whose prefixes are drawn out to whole windows. Suffixes with the same words are one block; its windows are
-    compared with those of other blocks, by a combined minimum, and what is found goes back to each suffix of the block."""
-    blocks = entries.groupBy("key", "key2").agg(F.min("k1").alias("least"), F.first("w1").alias("w1"), F.first("w2").alias("w2"))
-    each = cut(blocks.select("key", "key2", "least", F.posexplode(F.arrays_zip("w1", "w2")).alias("j", "x")).select("key", "key2", "least", "j", "x.w1", "x.w2"))
-    best = cut(each.groupBy("w1", "w2").agg(F.min("least").alias("first")))
-    # at most w - k + 1 windows a block
-    of_block = cut(each.join(best, ["w1", "w2"]).groupBy("key", "key2").agg(F.collect_list(F.struct("j", "first")).alias("firsts")))
-    joined = entries.select("key", "key2", "k1", "k2", "starts").join(of_block, ["key", "key2"])
-    js = F.transform(F.filter("firsts", lambda x: x["first"] < F.col("k1")), lambda x: x["j"])
+    """k1, k2, runs, of suffixes whose prefixes are drawn out to whole windows. Suffixes with the same words are one block, and all but the
+    block's first document lose all its windows. For the first one, the block's windows are compared with those of other blocks by a combined
+    minimum; only windows of which another block is earlier are joined back."""
+    blocks = cut(entries.groupBy("key", "key2").agg(F.min("k1").alias("least"), F.first("w1").alias("w1"), F.first("w2").alias("w2")))
+    each = blocks.select("key", "key2", "least", F.posexplode(F.arrays_zip("w1", "w2")).alias("j", "x")).select("key", "key2", "least", "j", "x.w1", "x.w2")
+    best = cut(each.groupBy("w1", "w2").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last").select("w1", "w2", "first"))
+    earlier = each.join(best, ["w1", "w2"]).where("first < least").groupBy("key", "key2").agg(F.collect_list("j").alias("js"))
+    of_block = cut(blocks.select("key", "key2", "least").join(earlier, ["key", "key2"], "left"))
+    joined = entries.select("key", "key2", "k1", "k2", "starts", "n").join(of_block, ["key", "key2"])
+    js = F.when(F.col("least") < F.col("k1"), F.sequence(F.lit(0), F.col("n"))).otherwise(F.coalesce("js", F.array().cast("array<int>")))
     pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j).cast("long").alias("a"), (s + j).cast("long").alias("b")))))
     return joined.select("k1", "k2", pairs.alias("runs")).where(F.size("runs") > 0)
 
