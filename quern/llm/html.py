@@ -146,7 +146,7 @@ def weights() -> tuple[dict[str, float], dict[str, float]]:
 #: A word's score without any known element, and the least and greatest score.
 BASE, LEAST, MOST = 1.0, -4.0, 2.0
 #: How much a tag counts beside a word: a paragraph of one word must not be lost to its own tags.
-TAG_SHARE = 0.25
+TAG_SHARE = 0.15
 #: The least score of a piece of text.
 DEEPEST = -8.0
 #: Elements that say nothing about the text in them.
