@@ -50,7 +50,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 #: Elements whose content is not markup, and those whose content is never text.
 SILENT = "script|style|noscript|template|textarea|iframe|object|svg|math|canvas|audio|video|noframes|noembed"
-TOKENS = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({SILENT})\b[^>]*>.*?(?:</\1\s*[^>]*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?>")
+TOKENS = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({SILENT})\b[^>]*>.*?(?:</\1\s*[^>]*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?>|<[/a-z][^<>]*\Z")
 NAMES = re.compile(r"""(?i)(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 HIDDEN = re.compile(r"""(?i)(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""")
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
