@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import corpus_queries, retrieval_queries, text_queries  # noqa: F401  registering them
+from . import corpus_queries, gate_queries, retrieval_queries, text_queries  # noqa: F401  registering them
 from .registry import QUERIES, SQL
 
 
