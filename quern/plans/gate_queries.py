@@ -40,10 +40,10 @@ def source_filter(spark: SparkSession, sf: str) -> DataFrame:
     return G.source_filter(load(spark, sf, "documents"), "source", "lang", deny=["src0", "src1"], tracks=["en", "de"]).select("doc_id")
 
 
-@query("SELECT l.page_id FROM pages l WHERE l.page_id % 3 <> 0 AND l.url IS NOT NULL AND split_part(l.url, '#', 1) NOT IN (SELECT split_part(url, '#', 1) FROM pages WHERE page_id % 3 = 0)")
+@query("SELECT page_id FROM pages WHERE url IS NOT NULL AND split_part(url, '#', 1) NOT IN (SELECT split_part(url, '#', 1) FROM pages WHERE contains(url, 'example.org'))")
 def foreign_links(spark: SparkSession, sf: str) -> DataFrame:
     pages = load(spark, sf, "pages").where("url is not null")
-    return G.foreign_links(pages.where("page_id % 3 <> 0"), "url", pages.where("page_id % 3 = 0"), "url").select("page_id")
+    return G.foreign_links(pages, "url", pages.where(F.contains("url", F.lit("example.org"))), "url").select("page_id")
 
 
 @query(r"""WITH w AS (SELECT doc_id, lower(text) AS low, list_filter(list_distinct(regexp_split_to_array(lower(string_split(text, chr(10))[1]), '[^\p{L}\p{N}]+')), lambda x: length(x) >= 4) AS own FROM documents WHERE text IS NOT NULL)
@@ -52,11 +52,9 @@ def title_match(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").where("text is not null").select("doc_id", G.title_matches(F.get(F.split("text", "\n"), F.lit(0)), F.col("text")).alias("ok"))
 
 
-@query(f"SELECT doc_id, coalesce(item_flat <> '' AND contains(lower({_FLAT.format('text')}), item_flat), false) AS ok FROM documents, (SELECT lower({_FLAT.format('text')}) AS item_flat FROM benchmark ORDER BY item_id LIMIT 1)")
+@query(f"SELECT doc_id, coalesce(s <> '' AND contains(t, s), false) AS ok FROM (SELECT doc_id, lower({_FLAT.format('source')}) AS s, lower({_FLAT.format('text')}) AS t FROM documents)")
 def verbatim_gate(spark: SparkSession, sf: str) -> DataFrame:
-    item = load(spark, sf, "benchmark").orderBy("item_id").limit(1).select(F.col("text").alias("title"), F.lit(1).alias("one"))
-    docs = load(spark, sf, "documents").select("doc_id", "text", F.lit(1).alias("one"))
-    return docs.join(F.broadcast(item), "one").select("doc_id", G.verbatim(F.col("title"), F.col("text")).alias("ok"))
+    return load(spark, sf, "documents").select("doc_id", G.verbatim(F.col("source"), F.col("text")).alias("ok"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE date_diff('day', CAST(o_orderdate AS DATE), DATE '1995-06-17') < 7 AND o_orderstatus <> 'F'")
