@@ -19,7 +19,8 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 #: A table is broadcast only if it has no more rows than this; rows here are of a few dozen bytes.
 BROADCAST_ROWS = 50_000
-SALTS = 64
+#: A key of more rows than HEAVY is dealt to SALTS tasks.
+HEAVY, SALTS = 20_000, 64
 
 
 _shipped: set[str] = set()
@@ -105,13 +106,19 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("k1"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k2")]
 
 
-def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Joins few-row statistics to many rows. Counted first: up to BROADCAST_ROWS they are broadcast; more are joined on a
-    salted key, so that a key with a third of all rows is dealt to SALTS tasks."""
+def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], rows: str, how: str = "left") -> DataFrame:
+    """Joins statistics, a row a key, to the rows they are of; the column rows has the number of these, and isn't kept. Counted first: up to
+    BROADCAST_ROWS statistics are broadcast. More are shuffled, and only keys of over HEAVY rows are dealt to SALTS tasks, so what is
+    copied stays small beside the statistics; where heavy keys are too many to broadcast, AQE splits them."""
     if stats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return df.join(F.broadcast(stats), list(keys), how)
-    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
+        return df.join(F.broadcast(stats.drop(rows)), list(keys), how)
+    heavy = stats.where(F.col(rows) > HEAVY).select(*keys, F.lit(True).alias("_heavy"))
+    if heavy.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return df.join(stats.drop(rows), list(keys), how)
+    salt = F.when(F.col("_heavy"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    dealt = df.join(F.broadcast(heavy), list(keys), "left").withColumn("_salt", salt).drop("_heavy")
+    salts = F.when(F.col(rows) > HEAVY, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(stats.withColumn("_salt", F.explode(salts)).drop(rows), [*keys, "_salt"], how).drop("_salt")
 
 
 def labelled_sample(labels: DataFrame, column: str, bound: int, where: Column | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ containment is asked for, so the prefix that a containing document must share ha
 prefix words, the window must fit between the first and last word of the document where the word stands (length and positional bounds),
 and the window is then compared word by word with the document at that place.
 
-The prefix words are broadcast only where their counted number is small; else candidates are found with a shuffled join, and texts are
-joined back to verify.
+The prefix words are broadcast only where their counted number is small; else words that are no prefix are dropped by a broadcast of
+hashes, itself of a counted number, candidates are found with a shuffled join, and texts are joined back to verify.
 
 Cases: a null text has no words; an item without words has no windows and one of fewer words than a window is one window; repeated
 documents each give a row; items of a null item_id are left out; repeated items count once.
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, cut, row_key
 
 WINDOW, MIN_ITEMS = 8, 2
+#: Hashes of prefix words that are broadcast at most: some 50 MB.
+KEY_ROWS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what stands between words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,7 +65,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
         found = at.join(F.broadcast(prefix), "word").where(fits).select("k1", "k2", "w", start, "n", "win").where(verified)
         return found.select("k1", "k2", "start", "win").distinct()
     at = words.select("k1", "k2", F.size("w").alias("size"), F.posexplode("w").alias("pos", "word"))
-    # each prefix word of many windows is joined once by its text hash's salt; the longer side is dealt by word and split by AQE
+    # only prefix words are shuffled, which are the rarest of their windows: others are dropped by a broadcast of the words' hashes, up to
+    # KEY_ROWS longs. The longer side is dealt by word and split by AQE
+    keys = prefix.select(F.xxhash64("word").alias("h")).distinct()
+    if keys.limit(KEY_ROWS + 1).count() <= KEY_ROWS:
+        at = at.join(F.broadcast(keys), F.xxhash64(at.word) == keys.h, "left_semi")
     near = at.join(prefix, "word").where(fits).select("k1", "k2", start, "n", "win").distinct()
     return near.join(words, ["k1", "k2"]).where(verified).select("k1", "k2", "start", "win").distinct()
 

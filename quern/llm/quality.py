@@ -81,7 +81,7 @@ def _strength(mean: Column, var: Column) -> Column:
 
 
 def site_rates(scored: DataFrame, host: str, path: str) -> DataFrame:
-    """_h, _p, host_rate, path_rate, base_rate: posteriors of hosts and paths, from column p."""
+    """_h, _p, n, host_rate, path_rate, base_rate: rows and posteriors of hosts and paths, from column p."""
     null = F.lit("\x00")
     paths = scored.groupBy(F.coalesce(host, null).alias("_h"), F.coalesce(path, null).alias("_p")).agg(F.count("*").alias("n"), F.sum("p").alias("s"))
     paths = cut(paths)
@@ -92,7 +92,7 @@ def site_rates(scored: DataFrame, host: str, path: str) -> DataFrame:
     both = paths.join(hosts, "_h")
     spread = both.agg(F.avg(F.pow(F.col("s") / F.col("n") - F.col("host_rate"), 2)).alias("v")).withColumn("_one", F.lit(1))
     k = _strength(F.col("host_rate"), F.col("v"))
-    return both.withColumn("_one", F.lit(1)).join(F.broadcast(spread), "_one").select("_h", "_p", "base_rate", "host_rate", ((F.col("s") + k * F.col("host_rate")) / (F.col("n") + k)).alias("path_rate"))
+    return both.withColumn("_one", F.lit(1)).join(F.broadcast(spread), "_one").select("_h", "_p", "n", "base_rate", "host_rate", ((F.col("s") + k * F.col("host_rate")) / (F.col("n") + k)).alias("path_rate"))
 
 
 def _logit(x: Column) -> Column:
@@ -105,7 +105,7 @@ def combined(scored: DataFrame, sites: DataFrame, host: str, path: str) -> DataF
     null = F.lit("\x00")
     keyed = scored.withColumns({"_h": F.coalesce(host, null), "_p": F.coalesce(path, null)})
     odds = _logit(F.col("p")) + SITE_WEIGHT * (_logit(F.col("path_rate")) - _logit(F.col("base_rate")))
-    return join_stats(keyed, sites, ["_h", "_p"]).withColumn("low", 1 / (1 + F.exp(-odds))).drop("_h", "_p", "base_rate")
+    return join_stats(keyed, sites, ["_h", "_p"], "n").withColumn("low", 1 / (1 + F.exp(-odds))).drop("_h", "_p", "base_rate")
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:

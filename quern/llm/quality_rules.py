@@ -67,8 +67,8 @@ def host_rates(judged: DataFrame, host: str = "source", failed: str = "base_fail
 def verdicts(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """The figures, host_rate and kept for every row."""
     judged = cut(rules(docs).withColumn("host", F.coalesce("source", F.lit("\x00"))))
-    rates = cut(host_rates(judged, "host").select("host", F.col("rate").alias("host_rate")))
-    joined = join_stats(judged, rates, ["host"])
+    rates = cut(host_rates(judged, "host").select("host", "n", F.col("rate").alias("host_rate")))
+    joined = join_stats(judged, rates, ["host"], "n")
     return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") < limit)).drop("host", "source")
 
 

@@ -114,12 +114,12 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("x.key").alias("key"))
     # buckets are counted before anything is gathered: a bucket over HOT is split by the pigeonhole principle, for two within the
     # radius agree on one of radius + 1 parts of the fingerprint
-    hot = keyed.groupBy("t", "key").count().where(F.col("count") > HOT).select("t", "key", F.lit(True).alias("hot"))
+    hot = keyed.groupBy("t", "key").count().where(F.col("count") > HOT).select("t", "key", "count", F.lit(True).alias("hot"))
     width = BITS // (radius + 1)
     part = lambda p: F.shiftrightunsigned("fp", p * width).bitwiseAND(F.lit((1 << width) - 1))
     parts = F.array(*[F.struct(F.lit(p).alias("p"), part(p).alias("v")) for p in range(radius + 1)])
     whole = F.array(F.struct(F.lit(-1).alias("p"), F.lit(0).cast("long").alias("v")))
-    split = join_stats(keyed, cut(hot), ["t", "key"]).withColumn("sub", F.explode(F.when(F.col("hot"), parts).otherwise(whole)))
+    split = join_stats(keyed, cut(hot), ["t", "key"], "count").withColumn("sub", F.explode(F.when(F.col("hot"), parts).otherwise(whole)))
     shared = split.groupBy("t", "key", "sub").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

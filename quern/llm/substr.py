@@ -253,8 +253,8 @@ def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, gro
     tune(docs.sparkSession)
     keyed = docs.where("doc_id is not null").select(*row_key(), "text")
     sketch = cut(_sketch(keyed, w, k))
-    copies = sketch.groupBy("fold").agg(F.min("k1").alias("least"), F.max("k1").alias("most")).where("least < most").select("fold", "least")
-    marked = join_stats(sketch, copies, ["fold"])
+    copies = sketch.groupBy("fold").agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count("*").alias("m")).where("least < most").select("fold", "least", "m")
+    marked = join_stats(sketch, cut(copies), ["fold"], "m")
     copied = cut(marked.where("least < k1").select("k1", "k2").distinct())
     each = cut(marked.where("least is null or least = k1").dropDuplicates(["k1", "k2"]).select("k1", "k2", F.explode("anchors").alias("x")).select("k1", "k2", "x.*"))
     # what is joined is cut first, so that Spark sees plain exchanges and can split a prefix that a third of all suffixes have

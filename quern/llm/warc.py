@@ -129,8 +129,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES) -> DataFram
     tune(pages.sparkSession)
     own = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha", F.sha1(F.col("html").cast("binary")))
     large = F.octet_length("html") >= min_bytes
-    groups = own.where(large & F.col("page_id").isNotNull()).groupBy("sha").agg(F.max("page_id").alias("last"), F.count("*").alias("m")).where("m > 1").select("sha", "last")
-    marked = join_stats(own, cut(groups), ["sha"])
+    groups = own.where(large & F.col("page_id").isNotNull()).groupBy("sha").agg(F.max("page_id").alias("last"), F.count("*").alias("m")).where("m > 1")
+    marked = join_stats(own, cut(groups), ["sha"], "m")
     # of repeated rows of the last page_id, each is written as a response
     marked = marked.withColumn("refers_to", F.when(large & (F.col("page_id") < F.col("last")), F.col("last")))
 

@@ -12,7 +12,7 @@ import pytest
 from conftest import SF
 from oracle import same
 
-from quern.llm import bpe, decontam, html, quality, quality_rules, queries, secrets, simhash, substr, toxicity, warc
+from quern.llm import bpe, common, decontam, html, quality, quality_rules, queries, secrets, simhash, substr, toxicity, warc
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i}" for i in range(400))
@@ -173,6 +173,16 @@ def test_warc_query(spark):
     assert got[3] == (0, sha(""), "revisit", 4) and got[5] == (200, sha("é" * 100), "response", None) and got[None][2] == "response"
 
 
+@pytest.mark.parametrize(("few", "heavy"), [(50_000, 20_000), (1, 2), (1, 0)])  # broadcast, one key salted, all to AQE
+def test_join_stats(spark, monkeypatch, few, heavy):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    df = spark.createDataFrame([(i, k) for i, k in enumerate("aaaaabbc")] + [(8, None)], "i int, k string")
+    stats = spark.createDataFrame([("a", 5, 50), ("b", 2, 20)], "k string, m int, v int")
+    got = sorted((r.i, r.v or 0) for r in common.join_stats(df, stats, ["k"], "m").collect())
+    assert got == [(i, 50 if i < 5 else 20 if i < 7 else 0) for i in range(9)]
+
+
 def test_decontamination(spark, docs, benchmark, monkeypatch):
     want = {4: (400, 9, 1), 3: (1, 1, 1), 1: (0, 0, 0), 6: (401, 9, 1)}
     for limit in (50_000, 0):  # broadcast and shuffled
