@@ -128,9 +128,9 @@ def _entries(docs: DataFrame, w: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in names]
-            for k1, k2, text, found in zip(b["k1"].to_pylist(), b["k2"].to_pylist(), b["text"], b["found"].to_pylist(), strict=True):
+            for k1, k2, text, found in zip(b["k1"].to_pylist(), b["k2"].to_pylist(), b["text"], b["found"], strict=True):
                 ws, seen, hashed = split(text.as_py()), {}, None
-                for a in found:
+                for a in found.as_py():
                     lo, hi, p = a["lo"], a["hi"], a["p"]
                     if a["hot"]:
                         if hashed is None:
@@ -242,8 +242,9 @@ def _drawn(entries: DataFrame) -> DataFrame:
     earlier = each.join(best, ["w1", "w2"]).where("first < least").groupBy("key", "key2").agg(F.collect_list("j").alias("js"))
     of_block = cut(blocks.select("key", "key2", "least").join(earlier, ["key", "key2"], "left"))
     joined = entries.select("key", "key2", "k1", "k2", "starts", "n").join(of_block, ["key", "key2"])
-    js = F.when(F.col("least") < F.col("k1"), F.sequence(F.lit(0), F.col("n"))).otherwise(F.coalesce("js", F.array().cast("array<int>")))
-    pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j).cast("long").alias("a"), (s + j).cast("long").alias("b")))))
+    single = F.transform(F.coalesce("js", F.array().cast("array<int>")), lambda j: F.struct(j.alias("lo"), j.alias("hi")))
+    js = F.when(F.col("least") < F.col("k1"), F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))).otherwise(single)
+    pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j["lo"]).cast("long").alias("a"), (s + j["hi"]).cast("long").alias("b")))))
     return joined.select("k1", "k2", pairs.alias("runs")).where(F.size("runs") > 0)
 
 
@@ -266,14 +267,14 @@ def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, gro
     return cut(runs.withColumn("copied", F.lit(False)).unionByName(copied.select("k1", "k2", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("runs"), F.lit(True).alias("copied"))))
 
 
-def kept_words(ws: list[bytes], runs: list[dict] | None, copied: bool | None, w: int = W) -> list[bytes]:
+def kept_words(ws: list[bytes], runs: tuple[np.ndarray, np.ndarray] | None, copied: bool | None, w: int = W) -> list[bytes]:
     if copied and len(ws) >= w:
         return []
-    if not runs:
+    if runs is None or not len(runs[0]):
         return ws
     cover = np.zeros(len(ws) + 1, np.int64)
-    np.add.at(cover, [r["a"] for r in runs], 1)
-    np.add.at(cover, [min(len(ws), r["b"] + w) for r in runs], -1)
+    np.add.at(cover, runs[0], 1)
+    np.add.at(cover, np.minimum(len(ws), runs[1] + w), -1)
     keep = np.cumsum(cover[:-1]) == 0
     return [x for x, y in zip(ws, keep.tolist(), strict=True) if y]
 
@@ -286,9 +287,11 @@ def dedup(docs: DataFrame, w: int = W, **more: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, gone, texts = [], [], []
-            for doc_id, t, runs, copied in zip(b["doc_id"].to_pylist(), b["text"], b["runs"].to_pylist(), b["copied"].to_pylist(), strict=True):
+            for doc_id, t, runs, copied in zip(b["doc_id"].to_pylist(), b["text"], b["runs"], b["copied"].to_pylist(), strict=True):
                 ws = split(t.as_py())
-                kept = kept_words(ws, runs, copied, w) if doc_id is not None else ws
+                # as numbers, never as objects: a batch has up to a million runs
+                ends = tuple(x.to_numpy() for x in runs.values.flatten()) if runs.is_valid else None
+                kept = kept_words(ws, ends, copied, w) if doc_id is not None else ws
                 n.append(len(ws))
                 gone.append(len(ws) - len(kept))
                 texts.append(b" ".join(kept).decode("utf-8", "replace"))
