@@ -13,7 +13,7 @@ none; a null doc_id takes part, but a component is named by the smallest doc_id
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -148,92 +148,149 @@ def digest(docs: DataFrame) -> DataFrame:
     return classes(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Shingles of a cell, cells of a document at most, and hashes of its sketch.
-CELL, CELLS, SKETCH = 4, 24, 128
-
-
-def cells(text: str | None, shingle: int) -> tuple[bytes, int, bytes, list[tuple[int, int, int]]]:
-    """A digest of the words, the number of distinct shingles, the sketch (their least hashes), and (level, cell, fingerprint) of cells.
-
-    Similar texts differ in too many bits of one fingerprint of 64 to fit a small radius, so the shingles are dealt to 2^level cells of
-    CELL shingles or more by their hash, and each cell gets a fingerprint. Of two texts with a similarity of 0.8 a cell of four to eight
-    shingles is the same with a chance of 0.17 to 0.41, so some of 24 is with a chance of 0.99 or more. The level follows the number of
-    shingles; where a text a quarter longer has another level, both are given, so that similar texts of any length meet."""
-    h = np.unique(hashes(text, shingle))
-    digest = xxhash.xxh128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
-    mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    sketch = np.sort(mixed)[:SKETCH].astype("<u8").tobytes()
-    level = lambda n: max(0, int(np.log2(max(1.0, n / CELL))))
-    out = []
-    for lv in sorted({level(len(h)), level(1.25 * len(h))} if len(h) else ()):
-        of = (mixed >> np.uint64(20)) & np.uint64((1 << lv) - 1)
-        on = np.flatnonzero(of < CELLS)
-        on = on[np.argsort(of[on], kind="stable")]
-        if not len(on):
-            continue
-        starts = np.flatnonzero(np.diff(of[on], prepend=np.uint64(1 << 40)))
-        bits = np.unpackbits(h[on].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
-        ones, n = np.add.reduceat(bits, starts, axis=0), np.diff(np.append(starts, len(on)))
-        fps = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
-        out += [(lv, int(c), int(f)) for c, f in zip(of[on][starts], fps, strict=True)]
-    return digest, len(h), sketch, out
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity from two sketches: the share of their union's least hashes that both have; exact for short texts."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    union = np.union1d(x, y)
-    if len(x) == SKETCH or len(y) == SKETCH:
-        union = union[:SKETCH]
-    both = np.intersect1d(np.intersect1d(x, y), union)
-    return len(both) / len(union) if len(union) else 1.0
-
-
-def similar_classes(docs: DataFrame, least: float = 0.8, radius: int = 3, shingle: int = 5) -> DataFrame:
-    """doc_id, component_id of every row with a doc_id: texts are linked whose fingerprints are within the radius, or that share the
-    fingerprint of a cell and have the similarity. In a shared cell each document is held against the first one, so links grow
-    with the documents and not with the pairs; with up to 24 cells a document meets several first ones of its class."""
-    tune(docs.sparkSession)
-    kind = pa.list_(pa.struct([("level", pa.int32()), ("cell", pa.int32()), ("cfp", pa.int64())]))
+#: Documents at most of which common shingles are counted, occurrences there that make one common, and common shingles kept at most.
+#: They only set the order in which shingles are tried, so no pair depends on them.
+SAMPLE, COMMON, COMMONS = 60_000, 3, 500_000
+
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def commons(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles (sorted) and the number of sampled documents that have them."""
+    n = docs.count()
+    some = docs if n <= SAMPLE else docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(SAMPLE / n * (1 << 20)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [cells(t.as_py(), shingle) for t in b["text"]]
-            cs = [[{"level": x, "cell": y, "cfp": z} for x, y, z in r[3]] for r in rows]
-            fp = [np.uint64(fingerprint(t.as_py(), shingle)).astype(np.int64) for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()), pa.array(fp, pa.int64()), pa.array(cs, kind)], ["doc_id", "same", "sketch", "fp", "cells"])
+            for t in b["text"]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t.as_py(), shingle)).view(np.int64))], ["h"])
+
+    counts = some.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    got = counts.orderBy(F.desc("n"), "h").limit(COMMONS).toArrow()
+    h, n = got["h"].to_numpy().view(np.uint64), got["n"].to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The shingles by which a set is found: all sets are sorted in one order, rare shingles first. Of two sets with the similarity each
+    has least * its size in common at least, so a set's first size - least * size + 1 shingles hold one of the other's first ones."""
+    h, n = common
+    at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
+    freq = np.where(h[at] == own, n[at], 0) if len(h) else np.zeros(len(own), np.int64)
+    order = np.lexsort((own * np.uint64(0x9E3779B97F4A7C15), freq))
+    return own[order[: len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1]] if len(own) else own
+
+
+def parities(own: np.ndarray) -> bytes:
+    """A bit map of two to four bits a shingle: whether an even or odd number of shingles fall on a bit."""
+    size = 1 << max(3, int(2 * len(own) - 1).bit_length())
+    at = ((own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)) & np.uint64(size - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def may_be_similar(a: int, x: bytes, b: int, y: bytes, least: float) -> bool:
+    """False only for sets (sizes a, b) that are surely not similar: a bit in which the maps differ needs a shingle that one set lacks,
+    and similar sets differ in (1 - least) / (1 + least) of a + b shingles at most. A larger map is folded to the size of the other."""
+    if min(a, b) < least * max(a, b) - 1e-9:
+        return False
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(p) != len(q):
+        if len(p) > len(q):
+            p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+        else:
+            q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+    return int(np.bitwise_count(p ^ q).sum(dtype=np.int64)) <= (1 - least) / (1 + least) * (a + b) + 1e-6
+
+
+def similar(x: bytes, y: bytes, least: float) -> bool:
+    """Whether two sets of hashes (sorted, distinct) have the Jaccard similarity."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return both >= least * (len(p) + len(q) - both)
+
+
+def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
+    """Those of the pairs (a < b) that have the similarity: bit maps reject most of the others, the rest is held against the full sets."""
+
+    def chosen(test: Callable[..., bool], *columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yes = pa.array([test(*v, least) for v in zip(*(b[c].to_pylist() for c in columns), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([b["a"].filter(yes), b["b"].filter(yes)], ["a", "b"])
+
+        return run
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.unique(hashes(t.as_py(), shingle)).tobytes() for t in b["text"]]
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(own, pa.binary())], ["doc_id", "hs"])
+
+    def both(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        cols = [c for c in of.columns if c != "doc_id"]
+        x, y = (of.select(F.col("doc_id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in "ab")
+        return pairs.join(x, "a").join(y, "b")
+
+    maps = both(pairs, texts.select("doc_id", "n", "bits"))
+    left = cut(maps.mapInArrow(chosen(may_be_similar, "n_a", "bits_a", "n_b", "bits_b"), "a long, b long"))
+    ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
+    full = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, hs binary").dropDuplicates(["doc_id"])
+    return both(left, cut_parquet(full)).mapInArrow(chosen(similar, "hs_a", "hs_b"), "a long, b long")
+
+
+def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a < b) of a group's documents that are in different components; column group: structs of root and doc_id."""
+    for b in batches:
+        for g in b["group"]:
+            root, doc = (np.asarray(g.values.field(c).to_numpy(zero_copy_only=False), np.int64) for c in ("root", "doc_id"))
+            order = np.lexsort((doc, root))
+            root, doc = root[order], doc[order]
+            ends = np.searchsorted(root, root, side="right")
+            for i in np.flatnonzero(ends < len(doc)).tolist():
+                other = doc[ends[i] :]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, doc[i])), pa.array(np.maximum(other, doc[i]))], ["a", "b"])
+
+
+def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
+    """doc_id, component_id of every row with a doc_id: the components of all pairs of texts whose sets of shingles have the Jaccard
+    similarity. Pairs are found by prefix(), which loses none, and decided on the full sets. First each document is held against the
+    first one of each shingle it is found by; then, under each shingle, all documents that are not in one component yet are held
+    against one another, so a large class of near copies gives no square of pairs."""
+    tune(docs.sparkSession)
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    common = docs.sparkSession.sparkContext.broadcast(commons(docs, shingle))
 
-    own = cut_parquet(docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(sketch, "doc_id long, same binary, sketch binary, fp long, cells array<struct<level:int,cell:int,cfp:long>>"))
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t.as_py() for t in b["text"]]
+            same = [xxhash.xxh128_digest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts]
+            own = [np.unique(hashes(t, shingle)) for t in texts]
+            keys = [prefix(s, common.value, least).view(np.int64) for s in own]
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], pa.array(same, pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array([parities(s) for s in own], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "same", "n", "bits", "keys"],
+            )
+
+    own = cut_parquet(docs.mapInArrow(describe, "doc_id long, same binary, n long, bits binary, keys array<long>"))
     # equal texts are folded into the smallest id before anything is compared
     reps = cut(own.groupBy("same").agg(F.min("doc_id").alias("rep")))
     texts = own.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    each = texts.select("doc_id", F.explode("cells").alias("x")).select("doc_id", "x.level", "x.cell", "x.cfp")
-    key = ["level", "cell", "cfp"]
-    shared = cut(each.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("m")).where("m > 1").select(*key, "first"))
-    pairs = each.join(shared, key).where("doc_id > first").select("doc_id", "first").distinct()
-    sketches = texts.select("doc_id", "sketch")
-    two = pairs.join(sketches, "doc_id").withColumnRenamed("sketch", "sketch_a").join(sketches.select(F.col("doc_id").alias("first"), F.col("sketch").alias("sketch_b")), "first")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            near = [similarity(x, y) >= least for x, y in zip(b["sketch_a"].to_pylist(), b["sketch_b"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b["first"].filter(pa.array(near, pa.bool_())), b["doc_id"].filter(pa.array(near, pa.bool_()))], ["a", "b"])
-
-    near = two.select("first", "doc_id", "sketch_a", "sketch_b").mapInArrow(verify, "a long, b long")
-    fps = cut(texts.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("m")))
-    by_fp = links(fps.select("fp"), radius)
-    name = fps.select("fp", "first")
-    linked = by_fp.join(name.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(name.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    equal = texts.join(fps.where("m > 1").select("fp", "first"), "fp").where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    comp = components(near.unionByName(linked).unionByName(equal)).select(F.col("node").alias("rep"), "root")
-    named = reps.join(comp, "rep", "left").select("same", F.coalesce("root", "rep").alias("component_id"))
+    each = texts.select("doc_id", F.explode("keys").alias("key"))
+    shared = cut(each.groupBy("key").agg(F.collect_list("doc_id").alias("ids")).where(F.size("ids") > 1))
+    stars = shared.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).where("a < b").distinct()
+    near = cut(similar_pairs(stars, texts, docs, least, shingle))
+    comp = cut(components(near))
+    members = shared.select("key", F.explode("ids").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members = members.select("key", F.struct(F.coalesce("root", "doc_id").alias("root"), "doc_id").alias("x"))
+    apart = members.groupBy("key").agg(F.collect_list("x").alias("group"), F.min("x.root").alias("low"), F.max("x.root").alias("high"))
+    rest = apart.where("low < high").select("group").mapInArrow(across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+    comp = components(near.unionByName(similar_pairs(rest, texts, docs, least, shingle)))
+    named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("root", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(cut(named), "same").select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, least: float = 0.8, radius: int = 3, shingle: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
     """The documents without near copies: of each class of similar_classes() the row with the smallest doc_id stays. Repeated rows of
     that id count as copies, one of them stays; rows without a doc_id stay as they are."""
-    own = similar_classes(docs, least, radius, shingle)
+    own = similar_classes(docs, least, shingle)
     keep = own.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__quern_keep")).distinct()
     kept = docs.join(keep, docs.doc_id == keep["__quern_keep"], "left_semi")
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

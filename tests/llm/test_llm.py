@@ -320,3 +320,42 @@ def test_similar(spark):
     want = brute_similar(df.collect())
     assert np.mean([got[d] == want[d] for d in want]) > 0.97
     assert all(got[d] == d or (d >= 100 and (d - 100) // 3 in (got[d], (got[d] - 100) // 3)) for d in got)
+
+
+def exact_classes(rows) -> dict:
+    sets = {d: set(simhash.hashes(t, 5).tolist()) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (k := len(sets[a] & sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - k):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    return {d: find(d) for d in ids}
+
+
+def found_classes(spark, rows) -> dict:
+    return {r.doc_id: r.component_id for r in simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_similar_in_family(spark):
+    rng = random.Random(4)
+    base = [f"t{i}" for i in range(204)]
+    rows = []
+    for i in range(60):  # texts of one template, each with its own passage: not similar to one another
+        ws = base[:]
+        ws[40 + i : 66 + i] = [f"own{i}x{j}" for j in range(26)]
+        rows.append((i, " ".join(ws)))
+        if i >= 30:  # and near copies of some of them
+            at = rng.randrange(140, 180)
+            ws[at : at + rng.randrange(1, 14)] = [f"edit{i}"]
+            rows.append((100 + i, " ".join(ws)))
+    want = exact_classes(rows)
+    assert 20 < sum(d != c for d, c in want.items()) < 60
+    assert found_classes(spark, rows) == want
