@@ -359,3 +359,13 @@ def test_similar_in_family(spark):
     want = exact_classes(rows)
     assert 20 < sum(d != c for d, c in want.items()) < 60
     assert found_classes(spark, rows) == want
+
+
+def test_similar_short(spark):
+    rows = []
+    for i in range(150):
+        ws = [f"s{i}x{j}" for j in range(13 + i % 40)]
+        rows += [(i, " ".join([*ws, "a"])), (1000 + i, " ".join([*ws, "b"]))]
+    want = exact_classes(rows)
+    assert all(want[1000 + i] == i for i in range(150))
+    assert found_classes(spark, rows) == want
