@@ -369,3 +369,16 @@ def test_similar_short(spark):
     want = exact_classes(rows)
     assert all(want[1000 + i] == i for i in range(150))
     assert found_classes(spark, rows) == want
+
+
+def test_similar_is_exact(spark):
+    rows = []
+    for i in range(40):  # similarities on both sides of 0.8, of more shingles than a sketch would hold
+        ws = [f"w{i}x{j}" for j in range(1004)]
+        rows += [(i, " ".join(ws)), (100 + i, " ".join(ws[: 880 + i % 20] + [f"e{i}x{j}" for j in range(124 - i % 20)]))]
+    for i in (500, 501):  # one repeated shingle makes the fingerprint
+        rows.append((i, "z " * 600 + " ".join(f"r{i}x{j}" for j in range(300))))
+    assert simhash.fingerprint(rows[-1][1], 5) == simhash.fingerprint(rows[-2][1], 5)
+    want = exact_classes(rows)
+    assert want[501] == 501 and 10 < sum(want[100 + i] == i for i in range(40)) < 40
+    assert found_classes(spark, rows) == want
