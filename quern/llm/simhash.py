@@ -181,8 +181,8 @@ def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float)
 
 
 def parities(own: np.ndarray) -> bytes:
-    """A bit map of two to four bits a shingle: whether an even or odd number of shingles fall on a bit."""
-    size = 1 << max(3, int(2 * len(own) - 1).bit_length())
+    """A bit map of four to eight bits a shingle: whether an even or odd number of shingles fall on a bit."""
+    size = 1 << max(3, (4 * len(own) - 1).bit_length())
     at = ((own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)) & np.uint64(size - 1)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
@@ -236,24 +236,38 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: fl
     return both(left, cut_parquet(full)).mapInArrow(chosen(similar, "hs_a", "hs_b"), "a long, b long")
 
 
-def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a < b) of a group's documents that are in different components; column group: structs of root and doc_id."""
-    for b in batches:
-        for g in b["group"]:
-            root, doc = (np.asarray(g.values.field(c).to_numpy(zero_copy_only=False), np.int64) for c in ("root", "doc_id"))
-            order = np.lexsort((doc, root))
-            root, doc = root[order], doc[order]
-            ends = np.searchsorted(root, root, side="right")
-            for i in np.flatnonzero(ends < len(doc)).tolist():
-                other = doc[ends[i] :]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, doc[i])), pa.array(np.maximum(other, doc[i]))], ["a", "b"])
+def across(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs (a < b) of a group's documents that are in different components and whose bit maps allow the similarity, as in
+    may_be_similar(); column group: structs of root, doc_id, n and bits. What the maps reject never becomes a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for g in b["group"]:
+                root, doc, n = (np.asarray(g.values.field(c).to_numpy(zero_copy_only=False), np.int64) for c in ("root", "doc_id", "n"))
+                bits = g.values.field("bits").to_pylist()
+                size = np.array([len(x) for x in bits])
+                for w in np.unique(size).tolist():
+                    # similar sets have maps of one size or of the next, which is folded
+                    one, two = np.flatnonzero(size == w), np.flatnonzero(size == 2 * w)
+                    m = np.frombuffer(b"".join(bits[i] for i in one), np.uint8).reshape(-1, w)
+                    big = np.frombuffer(b"".join(bits[i] for i in two), np.uint8).reshape(-1, 2 * w)
+                    rows, at = np.concatenate([m, big[:, :w] ^ big[:, w:]]), np.concatenate([one, two])
+                    for k, i in enumerate(one.tolist()):
+                        j = at[k + 1 :]
+                        on = np.flatnonzero((root[j] != root[i]) & (np.minimum(n[j], n[i]) >= least * np.maximum(n[j], n[i]) - 1e-9))
+                        if len(on):
+                            differ = np.bitwise_count(rows[k + 1 :][on] ^ rows[k]).sum(axis=1, dtype=np.int64)
+                            j = doc[j[on][differ <= (1 - least) / (1 + least) * (n[j[on]] + n[i]) + 1e-6]]
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(j, doc[i])), pa.array(np.maximum(j, doc[i]))], ["a", "b"])
+
+    return run
 
 
 def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, component_id of every row with a doc_id: the components of all pairs of texts whose sets of shingles have the Jaccard
-    similarity. Pairs are found by prefix(), which loses none, and decided on the full sets. First each document is held against the
-    first one of each shingle it is found by; then, under each shingle, all documents that are not in one component yet are held
-    against one another, so a large class of near copies gives no square of pairs."""
+    similarity. Pairs are found by prefix(), which loses none, and decided on the full sets. First each document is held against
+    three others of each shingle it is found by; then, under each shingle, all documents that are not in one component yet are held
+    against one another, by bit maps within a task, so neither near copies nor a template's texts give a square of rows."""
     tune(docs.sparkSession)
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     common = docs.sparkSession.sparkContext.broadcast(commons(docs, shingle))
@@ -272,16 +286,22 @@ def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> Da
     own = cut_parquet(docs.mapInArrow(describe, "doc_id long, same binary, n long, bits binary, keys array<long>"))
     # equal texts are folded into the smallest id before anything is compared
     reps = cut(own.groupBy("same").agg(F.min("doc_id").alias("rep")))
-    texts = own.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    each = texts.select("doc_id", F.explode("keys").alias("key"))
-    shared = cut(each.groupBy("key").agg(F.collect_list("doc_id").alias("ids")).where(F.size("ids") > 1))
-    stars = shared.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).where("a < b").distinct()
+    first = own.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = cut_parquet(first.select("doc_id", "n", "bits").dropDuplicates(["doc_id"]))
+    each = first.select("doc_id", F.explode("keys").alias("key"))
+    # shingles of the same documents count once
+    shared = cut(each.groupBy("key").agg(F.sort_array(F.collect_set("doc_id")).alias("ids")).where(F.size("ids") > 1).select("ids").distinct())
+    center = F.array(F.array_min("ids"), F.array_max("ids"), F.array_min(F.transform("ids", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))["x"])
+    stars = shared.select("ids", F.explode(F.array_distinct(center)).alias("c")).select("c", F.explode("ids").alias("x")).where("c <> x")
+    stars = cut(stars.select(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")).distinct())
     near = cut(similar_pairs(stars, texts, docs, least, shingle))
     comp = cut(components(near))
-    members = shared.select("key", F.explode("ids").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    members = members.select("key", F.struct(F.coalesce("root", "doc_id").alias("root"), "doc_id").alias("x"))
-    apart = members.groupBy("key").agg(F.collect_list("x").alias("group"), F.min("x.root").alias("low"), F.max("x.root").alias("high"))
-    rest = apart.where("low < high").select("group").mapInArrow(across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+    members = shared.select(F.xxhash64("ids").alias("k1"), F.hash("ids").alias("k2"), F.explode("ids").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members = members.withColumn("root", F.coalesce("root", "doc_id"))
+    # a group of two has been compared already
+    apart = members.groupBy("k1", "k2").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low < high and m > 2").select("k1", "k2")
+    groups = members.join(apart, ["k1", "k2"], "left_semi").join(texts, "doc_id").groupBy("k1", "k2").agg(F.collect_list(F.struct("root", "doc_id", "n", "bits")).alias("group"))
+    rest = groups.select("group").mapInArrow(across(least), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     comp = components(near.unionByName(similar_pairs(rest, texts, docs, least, shingle)))
     named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("root", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(cut(named), "same").select("doc_id", "component_id")
