@@ -47,6 +47,14 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     return vector.cosine_topk(load(spark, sf, "embeddings"), _query_vector(spark, sf), 20)
 
 
+@query("""WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), s AS (SELECT vec_id, v, coalesce(nullif(sqrt(list_dot_product(v, v)), 0), 1) AS l FROM n),
+c AS (SELECT q.vec_id AS query_id, s.vec_id, round(list_dot_product(s.v, q.v) / q.l / s.l, 6) AS score FROM s, s q WHERE q.vec_id % 100 = 0)
+SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""")
+def cosine_topk_each(spark: SparkSession, sf: str) -> DataFrame:
+    e = load(spark, sf, "embeddings")
+    return vector.cosine_topk_each(e, e.where("vec_id % 100 = 0"), 20)
+
+
 @query(f"WITH {_COS}, b AS (SELECT label, max(score) AS score FROM cs JOIN embeddings USING (vec_id) GROUP BY label ORDER BY 2 DESC, 1 LIMIT 3) SELECT label, vec_id, b.score FROM b JOIN embeddings USING (label)")
 def cosine_hash_budget(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "embeddings")
