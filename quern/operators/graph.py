@@ -50,33 +50,40 @@ def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
     return seen.where("hops > 0")
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, rounds: int = 10, every: int = 5) -> DataFrame:
-    """id, score: personalized PageRank over the weighted undirected projection. Lineage is cut every few rounds."""
+def _cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage; through the cluster's folder, if it names one."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) is not None else df.localCheckpoint()
+
+
+def pagerank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, rounds: int = 100, tol: float = 1e-4) -> DataFrame:
+    """id, score: personalized PageRank over the weighted undirected projection, until a round changes the scores by less than tol in
+    sum, or for a number of rounds. Lineage is cut every round."""
     p = projection(edges)
     both = p.select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight").unionByName(p.select(F.col("b").alias("src"), F.col("a").alias("dst"), "weight"))
     out = both.groupBy("src").agg(F.sum("weight").alias("total"))
-    step = both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
-    nodes = both.select(F.col("src").alias("id")).distinct()
+    step = _cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+    nodes = step.select(F.col("src").alias("id")).distinct()
     n = seeds.count() or 1
-    jump = nodes.join(seeds.select("id", F.lit(1.0 / n).alias("p")), "id", "left").fillna(0.0, ["p"])
-    score = jump.select("id", F.col("p").alias("score"))
-    cuts = edges.sparkSession.conf.get("spark.checkpoint.dir", None) is not None
-    for i in range(rounds):
-        moved = score.join(step, score.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("share")).alias("m"))
-        score = jump.join(moved, "id", "left").select("id", ((1 - alpha) * F.col("p") + alpha * F.coalesce("m", F.lit(0.0))).alias("score"))
-        if cuts and i % every == every - 1:
-            score = score.checkpoint()
-    return score
-
-
-def min_label_components(edges: DataFrame, rounds: int = 6) -> DataFrame:
-    """id, component, for graphs of small diameter: labels spread a fixed number of rounds, doubling by pointer jumps."""
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    label = both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component"))
+    state = _cut(nodes.join(seeds.select("id", F.lit(1.0 / n).alias("p")), "id", "left").fillna(0.0, ["p"]).withColumn("score", F.col("p")))
     for _ in range(rounds):
+        moved = state.join(step, state.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("share")).alias("m"))
+        new = (1 - alpha) * F.col("p") + alpha * F.coalesce("m", F.lit(0.0))
+        state = _cut(state.join(moved, "id", "left").select("id", "p", new.alias("score"), F.abs(new - F.col("score")).alias("change")))
+        if (state.agg(F.sum("change")).first()[0] or 0.0) < tol:
+            break
+    return state.select("id", "score")
+
+
+def min_label_components(edges: DataFrame) -> DataFrame:
+    """id, component: labels spread by one hop a round until none changes; for graphs of small diameter."""
+    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    label = _cut(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component")))
+    while True:
         near = both.join(label, both.dst == label.id).groupBy("src").agg(F.min("component").alias("m"))
-        label = label.join(near, label.id == near.src, "left").select("id", F.least("component", F.coalesce("m", "component")).alias("component"))
-    return label
+        spread = F.least("component", F.coalesce("m", "component"))
+        label = _cut(label.join(near, label.id == near.src, "left").select("id", spread.alias("component"), (spread < F.col("component")).alias("changed")))
+        if not label.where("changed").limit(1).count():
+            return label.select("id", "component")
 
 
 def successors_by_order(df: DataFrame, key: str, order: str, id_col: str) -> DataFrame:

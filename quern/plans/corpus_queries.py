@@ -192,12 +192,12 @@ def graph_projection(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def ppr(spark: SparkSession, sf: str) -> DataFrame:
     edges = _graph(spark, sf)[1]
-    return graph.pagerank(edges, spark.createDataFrame([("doc:1",)], "id string"), rounds=6).select("id", F.round("score", 9).alias("score")).orderBy(F.desc("score"), "id").limit(20)
+    return graph.pagerank(edges, spark.createDataFrame([("doc:1",)], "id string")).select("id", F.round("score", 9).alias("score")).orderBy(F.desc("score"), "id").limit(20)
 
 
 @query("WITH RECURSIVE x AS (SELECT 'bloc:' || r_regionkey AS id, 'bloc:' || r_regionkey AS component FROM region) SELECT id, component FROM x UNION ALL SELECT 'country:' || n_nationkey, 'bloc:' || n_regionkey FROM nation UNION ALL SELECT 'doc:' || c_custkey, 'bloc:' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def components(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.min_label_components(_graph(spark, sf)[1], 3)
+    return graph.min_label_components(_graph(spark, sf)[1])
 
 
 @query()

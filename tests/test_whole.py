@@ -14,3 +14,20 @@ def test_every_query_vector(spark):
     for q in range(0, 501, 100):
         best = sorted(range(501), key=lambda i: (-round(float(v[i] @ v[q]), 5), i))[:5]
         assert sorted(r.vec_id for r in got if r.query_id == q) == sorted(best)
+
+
+def test_pagerank_converges(spark):
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(12)] + [("n0", "n5"), ("n0", "n5")]
+    w = np.zeros((13, 13))
+    for a, b in edges:
+        w[int(a[1:]), int(b[1:])] += 1
+        w[int(b[1:]), int(a[1:])] += 1
+    seed = np.eye(13)[0]
+    want = 0.15 * np.linalg.solve(np.eye(13) - 0.85 * (w / w.sum(axis=1)[:, None]).T, seed)
+    got = graph.pagerank(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("n0",)], "id string")).collect()
+    assert sum(abs(r.score - want[int(r.id[1:])]) for r in got) < 1e-3
+
+
+def test_long_component(spark):
+    edges = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(12)], "src string, dst string")
+    assert {r.component for r in graph.min_label_components(edges).collect()} == {"n00"}
