@@ -148,3 +148,10 @@ SELECT conv_id, round(CASE WHEN length(g) = 0 THEN CASE WHEN length(c) = 0 THEN
 def cer(spark: SparkSession, sf: str) -> DataFrame:
     p = _turns(spark, sf).where("a is not null and b is not null").where(F.concat("a", "b").rlike(r"^[\x00-\x7F]*$"))
     return p.select("conv_id", F.round(T.cer(F.left("a", F.lit(200)), F.left("b", F.lit(200))), 6).alias("cer"))
+
+
+@query()
+def cer_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Of whole texts and all conversations; a text that is missing counts as empty."""
+    a, b = (F.coalesce(F.col(c), F.lit("")) for c in "ab")
+    return _turns(spark, sf).select("conv_id", F.round(T.cer(a, b), 6).alias("cer"))

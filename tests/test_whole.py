@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+from conftest import SF
+
 from quern.operators import graph, vector
+from quern.plans import catalogue
 
 
 def test_every_query_vector(spark):
@@ -31,3 +34,26 @@ def test_pagerank_converges(spark):
 def test_long_component(spark):
     edges = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(12)], "src string, dst string")
     assert {r.component for r in graph.min_label_components(edges).collect()} == {"n00"}
+
+
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_whole_cer(spark):
+    got = {r.conv_id: r.cer for r in catalogue.queries()["cer_whole"](spark, SF).collect()}
+    turns: dict = {}
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").collect():
+        old = turns.setdefault(r.conv_id, {}).get(r.turn)
+        turns[r.conv_id][r.turn] = r.text if old is None else max(old, r.text or old)
+    assert set(got) == set(turns)
+    tidy = lambda s: __import__("re").sub(r"[ \t\n\r\f\x0b]+", " ", (s or "").replace("#", "")).strip(" ")
+    some = [c for c in sorted(turns) if len(turns[c].get(0) or "") < 1500 and len(turns[c].get(1) or "") < 1500][:25]
+    for c in some:
+        g, x = tidy(turns[c].get(0)), tidy(turns[c].get(1))
+        assert abs(got[c] - (distance(g, x) / len(g) if g else float(bool(x)))) < 2e-6
