@@ -1,6 +1,6 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Words are counted by the documents of either class that
+Two zstandard dictionaries are filled with words picked by count, one from toxic and one from ordinary text; zstandard's trainer isn't used. Words are counted by the documents of either class that
 have them, near copies once (by the least hash of their 3-word shingles). The ordinary dictionary is filled with the words that ordinary
 text has most; the toxic one also with those that toxic text has surely more than ordinary text (by the lower bound of the log-odds).
 A text is cut into windows of WINDOW words; a window's distance is how many bytes shorter it compresses with the toxic dictionary. A
