@@ -121,6 +121,19 @@ def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], rows: str,
     return dealt.join(stats.withColumn("_salt", F.explode(salts)).drop(rows), [*keys, "_salt"], how).drop("_salt")
 
 
+def blocks_of(size: Column, most: int) -> Column:
+    return F.greatest(F.ceil(size / most), F.lit(1)).cast("int")
+
+
+def tiled(df: DataFrame, spread: Column) -> DataFrame:
+    """Replaces the column blocks by block, i and j: a group's rows are dealt to its blocks, and each row goes to the tiles (i, j), i < j, of its
+    block with every other one, so that any two rows of a group meet in a tile of two blocks; a group of one block is tile (0, 0)."""
+    block = F.pmod(spread, "blocks").cast("int")
+    pair = lambda c: F.struct(F.least(F.col("block"), c).alias("i"), F.greatest(F.col("block"), c).alias("j"))
+    others = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: (c != F.col("block")) | (F.col("blocks") == 1)), pair)
+    return df.withColumn("block", block).withColumn("_tile", F.explode(others)).withColumns({"i": F.col("_tile.i"), "j": F.col("_tile.j")}).drop("_tile", "blocks")
+
+
 def labelled_sample(labels: DataFrame, column: str, bound: int, where: Column | None = None) -> DataFrame:
     """doc_id, y: up to bound labelled documents of either class, those with the least hash of their id; 2 * bound rows at most, so
     they may be broadcast. Null labels are left out; of repeated ones the larger counts."""

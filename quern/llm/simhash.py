@@ -7,8 +7,13 @@ fingerprints within the radius agree on the whole of at least one of the 2^(r+1)
 Only distinct fingerprints are compared, copies are folded into them first. Within a bucket the links are found exactly, and what leaves
 it is a spanning forest (at most one edge a fingerprint), never all pairs. Components come from star contraction over the edges.
 
+The pipeline's stage is keep_one(): there a link is a Jaccard similarity of 0.8 or more of the sets of 5-word shingles. Covering tables
+over the fingerprints of those sets give the first candidates, which are decided on the full sets; pairs that are similar but outside the
+radius are then found by a prefix filter that loses none, and decided likewise.
+
 Cases: null and empty texts have fingerprint zero and are linked like any other; repeated rows each give a row; an empty table gives
-none; a null doc_id takes part, but a component is named by the smallest doc_id that is not null.
+none; a null doc_id takes part, but a component is named by the smallest doc_id that is not null; a very long text is counted in pieces;
+other columns are neither read nor returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,11 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, cut_parquet, join_stats, tune
+from .common import blocks_of, cut, cut_parquet, join_stats, row_key, tiled, tune
+from .substr import grams, word_hashes
 
 BITS, SEED = 64, 42
-#: Fingerprints in a bucket from which it is split.
-HOT = 4096
+#: Fingerprints of a block: two blocks are compared in one task at a time, whatever the size of a bucket.
+TILE = 4096
 
 
 def hashes(text: str | None, shingle: int = 3) -> np.ndarray:
@@ -112,15 +118,18 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     """Edges (a, b) between distinct fingerprints within the radius that keep every component connected. fps: distinct column fp."""
     tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")).alias("key")) for i, m in enumerate(masks(radius))])
     keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("x.key").alias("key"))
-    # buckets are counted before anything is gathered: a bucket over HOT is split by the pigeonhole principle, for two within the
-    # radius agree on one of radius + 1 parts of the fingerprint
-    hot = keyed.groupBy("t", "key").count().where(F.col("count") > HOT).select("t", "key", "count", F.lit(True).alias("hot"))
+    # buckets are counted before anything is gathered: a bucket over TILE is split by the pigeonhole principle, for two within the
+    # radius agree on one of radius + 1 parts of the fingerprint; what is still over TILE then is compared tile by tile
+    hot = keyed.groupBy("t", "key").count().where(F.col("count") > TILE).select("t", "key", "count", F.lit(True).alias("hot"))
     width = BITS // (radius + 1)
     part = lambda p: F.shiftrightunsigned("fp", p * width).bitwiseAND(F.lit((1 << width) - 1))
     parts = F.array(*[F.struct(F.lit(p).alias("p"), part(p).alias("v")) for p in range(radius + 1)])
-    whole = F.array(F.struct(F.lit(-1).alias("p"), F.lit(0).cast("long").alias("v")))
-    split = join_stats(keyed, cut(hot), ["t", "key"], "count").withColumn("sub", F.explode(F.when(F.col("hot"), parts).otherwise(whole)))
-    shared = split.groupBy("t", "key", "sub").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
+    marked = join_stats(keyed, cut(hot), ["t", "key"], "count").select("t", "key", "fp", F.coalesce("hot", F.lit(False)).alias("hot"))
+    few = marked.where("not hot").select("t", "key", F.lit(-1).alias("p"), F.lit(0).cast("long").alias("v"), F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
+    many = cut(marked.where("hot").withColumn("x", F.explode(parts)).select("t", "key", "x.p", "x.v", "fp"))
+    sizes = cut(many.groupBy("t", "key", "p", "v").agg(F.count("*").alias("m")).where("m > 1").withColumn("blocks", blocks_of(F.col("m"), TILE)))
+    tiles = tiled(join_stats(many, sizes, ["t", "key", "p", "v"], "m", "inner"), F.xxhash64("fp")).select(*few.columns)
+    shared = few.unionByName(tiles).groupBy("t", "key", "p", "v", "i", "j").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -136,34 +145,62 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
 def classes(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id") -> DataFrame:
     """id, fp, component_id for every row of docs."""
     own = cut(fingerprints(docs, shingle, id_col))
-    reps = cut(own.groupBy("fp").agg(F.min(id_col).alias("first")))
+    reps = cut(own.groupBy("fp").agg(F.min(id_col).alias("first"), F.count("*").alias("m")))
     comp = components(links(reps.select("fp"), radius))
-    named = reps.join(comp, reps.fp == comp.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = reps.join(comp, reps.fp == comp.node, "left").select("fp", "first", "m", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return own.join(named, "fp").select(id_col, "fp", "component_id")
+    named = named.join(least, "root").select("fp", "m", "component_id")
+    return join_stats(own, cut(named), ["fp"], "m").select(id_col, "fp", "component_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     return classes(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Documents at most of which common shingles are counted, occurrences there that make one common, and common shingles kept at most.
+#: Shingles counted together in a task, occurrences there that make one common, and common shingles that are told apart by their number.
 #: They only set the order in which shingles are tried, so no pair depends on them.
-SAMPLE, COMMON, COMMONS = 60_000, 3, 500_000
+COUNTED, COMMON, COMMONS = 1 << 22, 3, 500_000
+#: Documents and bytes of a block of a group; pairs of a document that are decided in one task.
+GROUP, GROUP_BYTES, PAIRS = 512, 4 << 20, 512
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the distinct shingles of words, A-Z lower-cased, sorted; a text of fewer words is one shingle."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return np.unique(grams(word_hashes(w), min(shingle, len(w)))) if w else np.zeros(0, np.uint64)
+
+
+def simhash_of(own: np.ndarray) -> int:
+    """The fingerprint of a set of hashes, signed."""
+    if not len(own):
+        return 0
+    ones = np.zeros(BITS, np.int64)
+    for i in range(0, len(own), 1 << 15):
+        ones += np.unpackbits(own[i : i + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(own), bitorder="little").view("<i8")[0])
 
 
 def commons(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles (sorted) and the number of sampled documents that have them."""
-    n = docs.count()
-    some = docs if n <= SAMPLE else docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(SAMPLE / n * (1 << 20)))
+    """Common shingles (sorted) and how often they were counted, over all documents; those that are rare within a task aren't told."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(h[n >= COMMON].view(np.int64)), pa.array(n[n >= COMMON].astype(np.int64))], ["h", "n"])
+
         for b in batches:
             for t in b["text"]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t.as_py(), shingle)).view(np.int64))], ["h"])
-
-    counts = some.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+                held.append(shingle_set(t.as_py(), shingle))
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield out()
+                    held, size = [], 0
+        yield out()
+
+    counts = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     got = counts.orderBy(F.desc("n"), "h").limit(COMMONS).toArrow()
     h, n = got["h"].to_numpy().view(np.uint64), got["n"].to_numpy()
     order = np.argsort(h)
@@ -171,8 +208,8 @@ def commons(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """The shingles by which a set is found: all sets are sorted in one order, rare shingles first. Of two sets with the similarity each
-    has least * its size in common at least, so a set's first size - least * size + 1 shingles hold one of the other's first ones."""
+    """The shingles by which a set is found, in order: all sets are sorted in one order, rare shingles first. Of two sets with the
+    similarity each has least * its size in common at least, so a set's first size - least * size + 1 shingles hold one of the other's."""
     h, n = common
     at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
     freq = np.where(h[at] == own, n[at], 0) if len(h) else np.zeros(len(own), np.int64)
@@ -181,8 +218,8 @@ def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float)
 
 
 def parities(own: np.ndarray) -> bytes:
-    """A bit map of four to eight bits a shingle: whether an even or odd number of shingles fall on a bit."""
-    size = 1 << max(3, (4 * len(own) - 1).bit_length())
+    """A bit map of one to two bits a shingle: whether an even or odd number of shingles fall on a bit."""
+    size = 1 << max(6, max(0, len(own) - 1).bit_length())
     at = ((own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)) & np.uint64(size - 1)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
@@ -201,49 +238,60 @@ def may_be_similar(a: int, x: bytes, b: int, y: bytes, least: float) -> bool:
     return int(np.bitwise_count(p ^ q).sum(dtype=np.int64)) <= (1 - least) / (1 + least) * (a + b) + 1e-6
 
 
-def similar(x: bytes, y: bytes, least: float) -> bool:
+def similar(p: np.ndarray, q: np.ndarray, least: float) -> bool:
     """Whether two sets of hashes (sorted, distinct) have the Jaccard similarity."""
-    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     both = len(np.intersect1d(p, q, assume_unique=True))
     return both >= least * (len(p) + len(q) - both)
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
-    """Those of the pairs (a < b) that have the similarity: bit maps reject most of the others, the rest is held against the full sets."""
-
-    def chosen(test: Callable[..., bool], *columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yes = pa.array([test(*v, least) for v in zip(*(b[c].to_pylist() for c in columns), strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([b["a"].filter(yes), b["b"].filter(yes)], ["a", "b"])
-
-        return run
+    """Those of the pairs that have the similarity, as (a, b), a < b. pairs: c and x, where c may be in many pairs. Bit maps reject most of the
+    others; each pair left is decided on the full sets: a task gets the text of c once, and the texts of up to PAIRS of its partners."""
+    # a pair told in both directions is decided once
+    pairs = pairs.where("c <> x").groupBy(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")).agg(F.min(F.col("c") > F.col("x")).alias("turn"))
+    pairs = pairs.select(F.when(F.col("turn"), F.col("b")).otherwise(F.col("a")).alias("c"), F.when(F.col("turn"), F.col("a")).otherwise(F.col("b")).alias("x"))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [np.unique(hashes(t.as_py(), shingle)).tobytes() for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(own, pa.binary())], ["doc_id", "hs"])
+            yes = pa.array([may_be_similar(*v, least) for v in zip(*(b[c].to_pylist() for c in ("n_c", "bits_c", "n_x", "bits_x")), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b["c"].filter(yes), b["x"].filter(yes)], ["c", "x"])
 
-    def both(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        cols = [c for c in of.columns if c != "doc_id"]
-        x, y = (of.select(F.col("doc_id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in "ab")
-        return pairs.join(x, "a").join(y, "b")
+    for k in "cx":
+        pairs = pairs.join(texts.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")), k)
+    left = cut(pairs.mapInArrow(near, "c long, x long"))
 
-    maps = both(pairs, texts.select("doc_id", "n", "bits"))
-    left = cut(maps.mapInArrow(chosen(may_be_similar, "n_a", "bits_a", "n_b", "bits_b"), "a long, b long"))
-    ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
-    full = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, hs binary").dropDuplicates(["doc_id"])
-    return both(left, cut_parquet(full)).mapInArrow(chosen(similar, "hs_a", "hs_b"), "a long, b long")
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center, own = None, np.zeros(0, np.uint64)
+        for b in batches:
+            a: list[int] = []
+            x: list[int] = []
+            for c, other, text in zip(b["c"].to_pylist(), b["x"].to_pylist(), b["text"], strict=True):
+                found = shingle_set(text.as_py(), shingle)
+                if other is None:
+                    center, own = c, found
+                elif c == center and similar(own, found, least):
+                    a.append(min(c, other))
+                    x.append(max(c, other))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64())], ["a", "b"])
+
+    keyed = docs.join(texts.select("doc_id", "k2"), ["doc_id", "k2"], "left_semi").select("doc_id", "text")
+    centers = cut(left.groupBy("c").agg(F.count("*").alias("m")).withColumn("salts", blocks_of(F.col("m"), PAIRS)))
+    partners = join_stats(left, centers, ["c"], "m").select("c", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"), "x")
+    partners = partners.join(keyed.withColumnRenamed("doc_id", "x"), "x").select("c", "salt", "x", "text")
+    own = centers.select(F.col("c").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(keyed, "doc_id").select(F.col("doc_id").alias("c"), "salt", F.lit(None).cast("long").alias("x"), "text")
+    # nulls sort first: the center comes before its partners
+    return own.unionByName(partners).repartition("c", "salt").sortWithinPartitions("c", "salt", "x").mapInArrow(decide, "a long, b long")
 
 
 def across(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The pairs (a < b) of a group's documents that are in different components and whose bit maps allow the similarity, as in
-    may_be_similar(); column group: structs of root, doc_id, n and bits. What the maps reject never becomes a row."""
+    """The pairs c, x of a tile's documents that are in different components and whose sizes, places and bit maps allow the similarity;
+    column tile: structs of root, doc_id, n, a, block and bits. What these reject never becomes a row."""
+    names, share = ["c", "x"], least / (1 + least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for g in b["group"]:
-                root, doc, n = (np.asarray(g.values.field(c).to_numpy(zero_copy_only=False), np.int64) for c in ("root", "doc_id", "n"))
+            for g, next_ in zip(b["tile"], b["beside"].to_pylist(), strict=True):
+                root, doc, n, a, block = (np.asarray(g.values.field(c).to_numpy(zero_copy_only=False), np.int64) for c in ("root", "doc_id", "n", "a", "block"))
                 bits = g.values.field("bits").to_pylist()
                 size = np.array([len(x) for x in bits])
                 for w in np.unique(size).tolist():
@@ -254,57 +302,90 @@ def across(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     rows, at = np.concatenate([m, big[:, :w] ^ big[:, w:]]), np.concatenate([one, two])
                     for k, i in enumerate(one.tolist()):
                         j = at[k + 1 :]
-                        on = np.flatnonzero((root[j] != root[i]) & (np.minimum(n[j], n[i]) >= least * np.maximum(n[j], n[i]) - 1e-9))
+                        total = n[j] + n[i]
+                        # under their first common shingle, what follows it in either set holds all they have in common
+                        on = (root[j] != root[i]) & (np.minimum(a[j], a[i]) >= share * total - 1e-6) & (np.minimum(n[j], n[i]) >= least * np.maximum(n[j], n[i]) - 1e-9)
+                        on = np.flatnonzero(on if next_ else on & (block[j] != block[i]))
                         if len(on):
                             differ = np.bitwise_count(rows[k + 1 :][on] ^ rows[k]).sum(axis=1, dtype=np.int64)
-                            j = doc[j[on][differ <= (1 - least) / (1 + least) * (n[j[on]] + n[i]) + 1e-6]]
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(j, doc[i])), pa.array(np.maximum(j, doc[i]))], ["a", "b"])
+                            j = doc[j[on][differ <= (1 - least) / (1 + least) * total[on] + 1e-6]]
+                            if len(j):
+                                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), doc[i])), pa.array(j)], names)
 
     return run
 
 
 def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, component_id of every row with a doc_id: the components of all pairs of texts whose sets of shingles have the Jaccard
-    similarity. Pairs are found by prefix(), which loses none, and decided on the full sets. First each document is held against
-    three others of each shingle it is found by; then, under each shingle, all documents that are not in one component yet are held
-    against one another, by bit maps within a task, so neither near copies nor a template's texts give a square of rows."""
+    similarity. Links of the covering tables come first. Then come pairs that share a shingle of prefix(), which loses none: each document is
+    held against three others of each shingle it is found by; then, under each shingle, the documents that are not in one component yet
+    are held against one another, in tiles of two blocks. Only sums and minima are gathered by shingle, so one may be in any share of
+    the documents. Every link is decided on the full sets. Repeated rows of an id count as copies, one of them is compared."""
     tune(docs.sparkSession)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), row_key()[1], "text")
     common = docs.sparkSession.sparkContext.broadcast(commons(docs, shingle))
+    key = pa.struct([("key", pa.int64()), ("a", pa.int32())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t.as_py() for t in b["text"]]
             same = [xxhash.xxh128_digest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts]
-            own = [np.unique(hashes(t, shingle)) for t in texts]
-            keys = [prefix(s, common.value, least).view(np.int64) for s in own]
+            own = [shingle_set(t, shingle) for t in texts]
+            found = [prefix(s, common.value, least).view(np.int64) for s in own]
+            flat = [np.concatenate([*found, np.zeros(0, np.int64)]), np.concatenate([*(len(s) - np.arange(len(f)) for s, f in zip(own, found, strict=True)), np.zeros(0, np.int64)]).astype(np.int32)]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32())
+            keys = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(flat, key, strict=True)], fields=list(key)))
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(same, pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array([parities(s) for s in own], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "same", "n", "bits", "keys"],
+                [b["doc_id"], b["k2"], pa.array(same, pa.binary()), pa.array([len(s) for s in own], pa.int32()), pa.array([simhash_of(s) for s in own], pa.int64()), pa.array([parities(s) for s in own], pa.binary()), keys],
+                ["doc_id", "k2", "same", "n", "fp", "bits", "keys"],
             )
 
-    own = cut_parquet(docs.mapInArrow(describe, "doc_id long, same binary, n long, bits binary, keys array<long>"))
+    own = cut_parquet(docs.mapInArrow(describe, "doc_id long, k2 long, same binary, n int, fp long, bits binary, keys array<struct<key:long,a:int>>"))
     # equal texts are folded into the smallest id before anything is compared
-    reps = cut(own.groupBy("same").agg(F.min("doc_id").alias("rep")))
-    first = own.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = cut_parquet(first.select("doc_id", "n", "bits").dropDuplicates(["doc_id"]))
-    each = first.select("doc_id", F.explode("keys").alias("key"))
-    # shingles of the same documents count once
-    shared = cut(each.groupBy("key").agg(F.sort_array(F.collect_set("doc_id")).alias("ids")).where(F.size("ids") > 1).select("ids").distinct())
-    center = F.array(F.array_min("ids"), F.array_max("ids"), F.array_min(F.transform("ids", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))["x"])
-    stars = shared.select("ids", F.explode(F.array_distinct(center)).alias("c")).select("c", F.explode("ids").alias("x")).where("c <> x")
-    stars = cut(stars.select(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")).distinct())
-    near = cut(similar_pairs(stars, texts, docs, least, shingle))
+    reps = cut(own.groupBy("same").agg(F.min(F.struct("doc_id", "k2")).alias("r"), F.count("*").alias("m")).select("same", F.col("r.doc_id").alias("rep"), "r.k2", "m"))
+    first = own.join(reps.groupBy(F.col("rep").alias("doc_id")).agg(F.min("k2").alias("k2")), ["doc_id", "k2"], "left_semi")
+    texts = cut_parquet(first.select("doc_id", "k2", "n", "fp", "bits").dropDuplicates(["doc_id"]))
+
+    # links of the covering tables
+    heads = cut(texts.groupBy("fp").agg(F.min("doc_id").alias("c"), F.count("*").alias("m")))
+    alike = join_stats(texts.select("doc_id", "fp"), heads.where("m > 1"), ["fp"], "m", "inner").select("c", F.col("doc_id").alias("x"))
+    named = lambda k, to: heads.select(F.col("fp").alias(k), F.col("c").alias(to))
+    covered = links(heads.select("fp")).distinct().join(named("a", "c"), "a").join(named("b", "x"), "b").select("c", "x")
+    near = cut(similar_pairs(alike.unionByName(covered), texts, docs, least, shingle))
+    comp = cut(components(near))
+
+    # shingles of two documents or more, the smaller of which has it early enough
+    rooted = first.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    each = rooted.select("doc_id", "root", "n", F.explode("keys").alias("x")).select("doc_id", "root", "n", "x.key", "x.a")
+    early = F.col("a") >= 2 * least / (1 + least) * F.col("n") - 1e-6
+    counts = first.select("n", F.explode("keys").alias("x")).select("n", "x.key", "x.a").groupBy("key").agg(F.count("*").alias("m"), F.max(early).alias("early"))
+    rows = cut(join_stats(each, cut(counts.where("m > 1 and early").select("key", "m")), ["key"], "m", "inner"))
+    # shingles of the same documents count once: the one that comes first in the order
+    of_key = rows.groupBy("key").agg(
+        F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("s1"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("s2"), F.sum("a").alias("sa"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+        *[F.min(F.struct(by.alias("o"), "doc_id", "root", "n", "a")).alias(f"c{k}") for k, by in enumerate((F.col("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("doc_id")))],
+    )
+    sets = of_key.where("low < high").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "c0", "c1", "c2"), F.struct("sa", "key")).alias("g"))
+    sets = cut(sets.select("g.key", "m", F.array_distinct(F.transform(F.array("g.c0", "g.c1", "g.c2"), lambda c: F.struct(c["doc_id"], c["root"], c["n"], c["a"]))).alias("centers")))
+    members = cut(join_stats(rows, sets, ["key"], "m", "inner"))
+    c, total = F.col("c"), F.col("n") + F.col("c.n")
+    possible = (c["root"] != F.col("root")) & (F.least(F.col("a"), c["a"]) >= least / (1 + least) * total - 1e-6) & (F.least(F.col("n"), c["n"]) >= least * F.greatest(F.col("n"), c["n"]) - 1e-9)
+    stars = cut(members.withColumn("c", F.explode("centers")).where(possible).select(c["doc_id"].alias("c"), F.col("doc_id").alias("x")).distinct())
+    near = cut(near.unionByName(similar_pairs(stars, texts, docs, least, shingle)))
     comp = cut(components(near))
-    members = shared.select(F.xxhash64("ids").alias("k1"), F.hash("ids").alias("k2"), F.explode("ids").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    members = members.withColumn("root", F.coalesce("root", "doc_id"))
-    # a group of two has been compared already
-    apart = members.groupBy("k1", "k2").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low < high and m > 2").select("k1", "k2")
-    groups = members.join(apart, ["k1", "k2"], "left_semi").join(texts, "doc_id").groupBy("k1", "k2").agg(F.collect_list(F.struct("root", "doc_id", "n", "bits")).alias("group"))
-    rest = groups.select("group").mapInArrow(across(least), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+
+    # what is still apart under one shingle; a group of two has been compared already
+    joined = members.select("key", "doc_id", "a").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    joined = cut(joined.join(texts.select("doc_id", "n", "bits"), "doc_id"))
+    apart = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"), F.sum(F.octet_length("bits")).alias("size")).where("low < high and m > 2")
+    apart = cut(apart.select("key", "m", F.greatest(blocks_of(F.col("m"), GROUP), blocks_of(F.col("size"), GROUP_BYTES)).alias("blocks")))
+    tiles = tiled(join_stats(joined, apart, ["key"], "m", "inner"), F.xxhash64("doc_id"))
+    tiles = tiles.groupBy("key", "i", "j").agg(F.collect_list(F.struct("root", "doc_id", "n", "a", "block", "bits")).alias("tile"))
+    rest = tiles.select("tile", (F.col("j") - F.col("i") <= 1).alias("beside")).mapInArrow(across(least), "c long, x long").distinct()
     comp = components(near.unionByName(similar_pairs(rest, texts, docs, least, shingle)))
-    named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("root", "rep").alias("component_id"))
-    return own.select("doc_id", "same").join(cut(named), "same").select("doc_id", "component_id")
+    named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("same", "m", F.coalesce("root", "rep").alias("component_id"))
+    return join_stats(own.select("doc_id", "same"), cut(named), ["same"], "m").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:

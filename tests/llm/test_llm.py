@@ -141,9 +141,9 @@ def brute_components(fps: dict) -> dict:
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [4096, 8, 1])
 def test_simhash(spark, docs, monkeypatch, hot):
-    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "TILE", hot)
     rng = random.Random(3)
     rows = [(1000 + i, " ".join(rng.choice("abcdefg") for _ in range(60))) for i in range(60)]
     rows += [(2000 + i, rows[i % 7][1] + " " + rng.choice(["z", "y"])) for i in range(40)] + [(r[0], r[1]) for r in ROWS if r[0] is not None and r[0] != 5]
@@ -279,29 +279,8 @@ def test_pipeline(spark):
     good = quality.keep_good(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()
     hits = decontam.contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
     bad = {r.doc_id for r in hits if len(r.items) >= corpus_pipeline.MIN_ITEMS}
-    got, want = {r.doc_id for r in out.collect()}, {d for d, c in brute_similar(good).items() if d == c and d not in bad}
-    assert len(got ^ want) <= 0.02 * len(want)  # the similarity is estimated from sketches: pairs right at 0.8 may go either way
-    assert not got & bad
-
-
-def brute_similar(rows) -> dict:
-    sets = {r.doc_id: set(simhash.hashes(r.text, 5).tolist()) for r in rows}
-    fps = {r.doc_id: simhash.fingerprint(r.text, 5) for r in rows}
-    root = {d: d for d in sets}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            x, y = sets[a], sets[b]
-            if bin(fps[a] ^ fps[b]).count("1") <= 3 or (x | y and len(x & y) >= 0.8 * len(x | y)):
-                p, q = find(a), find(b)
-                root[max(p, q)] = min(p, q)
-    return {i: find(i) for i in ids}
+    got, want = {r.doc_id for r in out.collect()}, {d for d, c in exact_classes([(r.doc_id, r.text) for r in good]).items() if d == c and d not in bad}
+    assert got == want
 
 
 def test_similar(spark):
@@ -317,9 +296,7 @@ def test_similar(spark):
             rows.append((100 + 3 * i + j, " ".join(ws)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in simhash.similar_classes(df).collect()}
-    want = brute_similar(df.collect())
-    assert np.mean([got[d] == want[d] for d in want]) > 0.97
-    assert all(got[d] == d or (d >= 100 and (d - 100) // 3 in (got[d], (got[d] - 100) // 3)) for d in got)
+    assert got == exact_classes(rows)
 
 
 def exact_classes(rows) -> dict:
@@ -382,3 +359,19 @@ def test_similar_is_exact(spark):
     want = exact_classes(rows)
     assert want[501] == 501 and 10 < sum(want[100 + i] == i for i in range(40)) < 40
     assert found_classes(spark, rows) == want
+
+
+def test_similar_in_tiles(spark, monkeypatch):
+    """One shingle in every text, groups dealt to blocks of two, pairs decided one at a time, statistics joined by shuffles with salts."""
+    for name, value in (("GROUP", 2), ("PAIRS", 1), ("TILE", 2), ("COMMON", 1), ("COUNTED", 50)):
+        monkeypatch.setattr(simhash, name, value)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(common, "HEAVY", 4)
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):  # parts of one long text: similar where they overlap enough
+        at = rng.randrange(60)
+        rows.append((i, " ".join(f"p{j}" for j in range(at, at + 200))))
+    rows += [(100 + i, " ".join(["all of them say this", *(f"u{i}x{j}" for j in range(rng.randrange(1, 4)))])) for i in range(30)]
+    rows += [(200 + i, rows[i][1].upper()) for i in range(5)] + [(300, ""), (301, None), (302, "  "), (303, "x"), (304, "X ")]
+    assert found_classes(spark, rows) == exact_classes(rows)
