@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -86,6 +87,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of shuffle files that nothing refers to any more: Spark removes them when the driver collects garbage, and a job of many
+    steps would hold those of all its steps until then."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

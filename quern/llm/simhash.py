@@ -23,10 +23,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_of, cut, cut_parquet, join_stats, row_key, tiled, tune
+from .common import blocks_of, cut, cut_parquet, join_stats, release, tiled, tune
 from .substr import grams, word_hashes
 
 BITS, SEED = 64, 42
@@ -207,14 +207,15 @@ def commons(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], n[order]
 
 
-def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """The shingles by which a set is found, in order: all sets are sorted in one order, rare shingles first. Of two sets with the
-    similarity each has least * its size in common at least, so a set's first size - least * size + 1 shingles hold one of the other's."""
+def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles by which a set is found, in order, and whether each is common: all sets are sorted in one order, rare shingles first. Of
+    two sets with the similarity each has least * its size in common at least, so a set's first size - least * size + 1 shingles hold one of
+    the other's."""
     h, n = common
     at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
     freq = np.where(h[at] == own, n[at], 0) if len(h) else np.zeros(len(own), np.int64)
-    order = np.lexsort((own * np.uint64(0x9E3779B97F4A7C15), freq))
-    return own[order[: len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1]] if len(own) else own
+    order = np.lexsort((own * np.uint64(0x9E3779B97F4A7C15), freq))[: len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1]
+    return own[order], freq[order] > 0
 
 
 def parities(own: np.ndarray) -> bytes:
@@ -274,11 +275,10 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: fl
                     x.append(max(c, other))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64())], ["a", "b"])
 
-    keyed = docs.join(texts.select("doc_id", "k2"), ["doc_id", "k2"], "left_semi").select("doc_id", "text")
     centers = cut(left.groupBy("c").agg(F.count("*").alias("m")).withColumn("salts", blocks_of(F.col("m"), PAIRS)))
     partners = join_stats(left, centers, ["c"], "m").select("c", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"), "x")
-    partners = partners.join(keyed.withColumnRenamed("doc_id", "x"), "x").select("c", "salt", "x", "text")
-    own = centers.select(F.col("c").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(keyed, "doc_id").select(F.col("doc_id").alias("c"), "salt", F.lit(None).cast("long").alias("x"), "text")
+    partners = partners.join(docs.withColumnRenamed("doc_id", "x"), "x").select("c", "salt", "x", "text")
+    own = centers.select(F.col("c").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(docs, "doc_id").select(F.col("doc_id").alias("c"), "salt", F.lit(None).cast("long").alias("x"), "text")
     # nulls sort first: the center comes before its partners
     return own.unionByName(partners).repartition("c", "salt").sortWithinPartitions("c", "salt", "x").mapInArrow(decide, "a long, b long")
 
@@ -315,77 +315,109 @@ def across(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
+def _folded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts that are equal are folded into the smallest id: doc_id, text, one row a kept id, and k2, k3, m, rep: a row a text."""
+    copies = cut(docs.groupBy("k2", "k3").agg(F.min("doc_id").alias("rep"), F.count("*").alias("m")))
+    # an id that is repeated with other texts stands for one of them
+    twice = cut(copies.groupBy(F.col("rep").alias("doc_id")).agg(F.min(F.struct("k2", "k3")).alias("one"), F.count("*").alias("m")).where("m > 1"))
+    first = join_stats(docs, copies.where("m > 1"), ["k2", "k3"], "m").where("rep is null or rep = doc_id").drop("rep")
+    first = join_stats(first, twice, ["doc_id"], "m").where(F.col("one").isNull() | (F.col("one") == F.struct("k2", "k3")))
+    return first.select("doc_id", "text"), copies
+
+
 def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, component_id of every row with a doc_id: the components of all pairs of texts whose sets of shingles have the Jaccard
     similarity. Links of the covering tables come first. Then come pairs that share a shingle of prefix(), which loses none: each document is
     held against three others of each shingle it is found by; then, under each shingle, the documents that are not in one component yet
     are held against one another, in tiles of two blocks. Only sums and minima are gathered by shingle, so one may be in any share of
     the documents. Every link is decided on the full sets. Repeated rows of an id count as copies, one of them is compared."""
-    tune(docs.sparkSession)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), row_key()[1], "text")
-    common = docs.sparkSession.sparkContext.broadcast(commons(docs, shingle))
-    key = pa.struct([("key", pa.int64()), ("a", pa.int32())])
+    spark = docs.sparkSession
+    tune(spark)
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("k2"), F.xxhash64(F.lit(1), text).alias("k3"), "text")
+    first, copies = _folded(docs)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t.as_py() for t in b["text"]]
-            same = [xxhash.xxh128_digest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts]
-            own = [shingle_set(t, shingle) for t in texts]
-            found = [prefix(s, common.value, least).view(np.int64) for s in own]
-            flat = [np.concatenate([*found, np.zeros(0, np.int64)]), np.concatenate([*(len(s) - np.arange(len(f)) for s, f in zip(own, found, strict=True)), np.zeros(0, np.int64)]).astype(np.int32)]
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32())
-            keys = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(flat, key, strict=True)], fields=list(key)))
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["k2"], pa.array(same, pa.binary()), pa.array([len(s) for s in own], pa.int32()), pa.array([simhash_of(s) for s in own], pa.int64()), pa.array([parities(s) for s in own], pa.binary()), keys],
-                ["doc_id", "k2", "same", "n", "fp", "bits", "keys"],
-            )
-
-    own = cut_parquet(docs.mapInArrow(describe, "doc_id long, k2 long, same binary, n int, fp long, bits binary, keys array<struct<key:long,a:int>>"))
-    # equal texts are folded into the smallest id before anything is compared
-    reps = cut(own.groupBy("same").agg(F.min(F.struct("doc_id", "k2")).alias("r"), F.count("*").alias("m")).select("same", F.col("r.doc_id").alias("rep"), "r.k2", "m"))
-    first = own.join(reps.groupBy(F.col("rep").alias("doc_id")).agg(F.min("k2").alias("k2")), ["doc_id", "k2"], "left_semi")
-    texts = cut_parquet(first.select("doc_id", "k2", "n", "fp", "bits").dropDuplicates(["doc_id"]))
-
-    # links of the covering tables
+            own = [shingle_set(t.as_py(), shingle) for t in b["text"]]
+            cols = [pa.array([len(s) for s in own], pa.int32()), pa.array([simhash_of(s) for s in own], pa.int64()), pa.array([parities(s) for s in own], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *cols], ["doc_id", "n", "fp", "bits"])
+
+    # identical rows of one id are both there
+    texts = cut_parquet(first.mapInArrow(describe, "doc_id long, n int, fp long, bits binary").dropDuplicates(["doc_id"]))
+
+    # candidates of the covering tables
     heads = cut(texts.groupBy("fp").agg(F.min("doc_id").alias("c"), F.count("*").alias("m")))
     alike = join_stats(texts.select("doc_id", "fp"), heads.where("m > 1"), ["fp"], "m", "inner").select("c", F.col("doc_id").alias("x"))
     named = lambda k, to: heads.select(F.col("fp").alias(k), F.col("c").alias(to))
     covered = links(heads.select("fp")).distinct().join(named("a", "c"), "a").join(named("b", "x"), "b").select("c", "x")
-    near = cut(similar_pairs(alike.unionByName(covered), texts, docs, least, shingle))
-    comp = cut(components(near))
+    covered = cut(alike.unionByName(covered).where("c <> x"))
+    release(spark)
+
+    # shingles that two documents or more are found by, where the smaller of them has it early enough
+    common = spark.sparkContext.broadcast(commons(first, shingle))
+
+    def found_by(often: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keys, ids, after = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for d, t in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
+                    own = shingle_set(t.as_py(), shingle)
+                    key, is_common = prefix(own, common.value, least)
+                    own_after = len(own) - np.arange(len(key))
+                    chosen = np.flatnonzero(is_common == often)
+                    keys.append(key[chosen].view(np.int64))
+                    ids.append(np.full(len(chosen), d, np.int64))
+                    # twice the shingles that follow, and one more where the set can be the smaller one
+                    after.append(2 * own_after[chosen] + (own_after[chosen] >= 2 * least / (1 + least) * len(own) - 1e-6))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in ((keys, pa.int64()), (ids, pa.int64()), (after, pa.int32()))], ["key", "doc_id", "after"])
+
+        return run
+
+    # common shingles are known to be in several documents and need no count; the others are in few, so no task gets many of one
+    schema = "key long, doc_id long, after int"
+    w = Window.partitionBy("key")
+    rare = first.mapInArrow(found_by(False), schema).withColumns({"m": F.count("*").over(w), "early": F.max(F.col("after") % 2).over(w)}).where("m > 1 and early = 1")
+    rows = cut(rare.select("key", "doc_id", "after").unionByName(first.mapInArrow(found_by(True), schema)).select("key", "doc_id", F.shiftright("after", 1).alias("a")))
+    release(spark)
 
-    # shingles of two documents or more, the smaller of which has it early enough
-    rooted = first.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    each = rooted.select("doc_id", "root", "n", F.explode("keys").alias("x")).select("doc_id", "root", "n", "x.key", "x.a")
-    early = F.col("a") >= 2 * least / (1 + least) * F.col("n") - 1e-6
-    counts = first.select("n", F.explode("keys").alias("x")).select("n", "x.key", "x.a").groupBy("key").agg(F.count("*").alias("m"), F.max(early).alias("early"))
-    rows = cut(join_stats(each, cut(counts.where("m > 1 and early").select("key", "m")), ["key"], "m", "inner"))
     # shingles of the same documents count once: the one that comes first in the order
     of_key = rows.groupBy("key").agg(
         F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("s1"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("s2"), F.sum("a").alias("sa"),
-        F.min("root").alias("low"), F.max("root").alias("high"),
-        *[F.min(F.struct(by.alias("o"), "doc_id", "root", "n", "a")).alias(f"c{k}") for k, by in enumerate((F.col("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("doc_id")))],
+        *[F.min(F.struct(by.alias("o"), "doc_id", "a")).alias(f"c{k}") for k, by in enumerate((F.col("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("doc_id")))],
     )
-    sets = of_key.where("low < high").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "c0", "c1", "c2"), F.struct("sa", "key")).alias("g"))
-    sets = cut(sets.select("g.key", "m", F.array_distinct(F.transform(F.array("g.c0", "g.c1", "g.c2"), lambda c: F.struct(c["doc_id"], c["root"], c["n"], c["a"]))).alias("centers")))
+    sets = of_key.where("c0.doc_id < c1.doc_id").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "c0", "c1", "c2"), F.struct("sa", "key")).alias("g"))
+    sets = cut(sets.select("g.key", "m", F.col("m").alias("holders"), F.array_distinct(F.transform(F.array("g.c0", "g.c1", "g.c2"), lambda c: F.struct(c["doc_id"], c["a"]))).alias("centers")))
     members = cut(join_stats(rows, sets, ["key"], "m", "inner"))
-    c, total = F.col("c"), F.col("n") + F.col("c.n")
-    possible = (c["root"] != F.col("root")) & (F.least(F.col("a"), c["a"]) >= least / (1 + least) * total - 1e-6) & (F.least(F.col("n"), c["n"]) >= least * F.greatest(F.col("n"), c["n"]) - 1e-9)
-    stars = cut(members.withColumn("c", F.explode("centers")).where(possible).select(c["doc_id"].alias("c"), F.col("doc_id").alias("x")).distinct())
-    near = cut(near.unionByName(similar_pairs(stars, texts, docs, least, shingle)))
+    ids = members.select("doc_id").unionByName(covered.select(F.col("c").alias("doc_id"))).unionByName(covered.select(F.col("x").alias("doc_id"))).distinct()
+    chosen = cut_parquet(first.join(ids, "doc_id", "left_semi"))
+    release(spark)
+
+    near = cut(similar_pairs(covered, texts, chosen, least, shingle))
+    comp = cut(components(near))
+    release(spark)
+    known = texts.select("doc_id", "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    each = cut(members.join(known, "doc_id"))
+    c = F.col("c")
+    stars = each.select("key", "doc_id", "a", "n", "root", F.explode("centers").alias("c")).where(c["doc_id"] != F.col("doc_id")).select("doc_id", "a", "n", "root", c["doc_id"].alias("c"), c["a"].alias("ca"))
+    stars = stars.join(known.select(F.col("doc_id").alias("c"), F.col("n").alias("cn"), F.col("root").alias("croot")), "c").where("root <> croot")
+    possible = (F.least("a", "ca") >= least / (1 + least) * (F.col("n") + F.col("cn")) - 1e-6) & (F.least("n", "cn") >= least * F.greatest("n", "cn") - 1e-9)
+    stars = cut(stars.where(possible).select("c", F.col("doc_id").alias("x")).distinct())
+    near = cut(near.unionByName(similar_pairs(stars, texts, chosen, least, shingle)))
     comp = cut(components(near))
+    release(spark)
 
     # what is still apart under one shingle; a group of two has been compared already
-    joined = members.select("key", "doc_id", "a").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    joined = cut(joined.join(texts.select("doc_id", "n", "bits"), "doc_id"))
-    apart = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"), F.sum(F.octet_length("bits")).alias("size")).where("low < high and m > 2")
-    apart = cut(apart.select("key", "m", F.greatest(blocks_of(F.col("m"), GROUP), blocks_of(F.col("size"), GROUP_BYTES)).alias("blocks")))
-    tiles = tiled(join_stats(joined, apart, ["key"], "m", "inner"), F.xxhash64("doc_id"))
+    joined = each.where("holders > 2").select("key", "doc_id", "a", "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    apart = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"), F.sum("n").alias("size")).where("low < high")
+    # a map has up to a quarter of a byte a shingle, and eight bytes at least
+    apart = cut(apart.select("key", "m", F.greatest(blocks_of(F.col("m"), GROUP), blocks_of(F.col("size"), 4 * GROUP_BYTES)).alias("blocks")))
+    tiles = tiled(join_stats(joined, apart, ["key"], "m", "inner"), F.xxhash64("doc_id")).join(texts.select("doc_id", "bits"), "doc_id")
     tiles = tiles.groupBy("key", "i", "j").agg(F.collect_list(F.struct("root", "doc_id", "n", "a", "block", "bits")).alias("tile"))
     rest = tiles.select("tile", (F.col("j") - F.col("i") <= 1).alias("beside")).mapInArrow(across(least), "c long, x long").distinct()
-    comp = components(near.unionByName(similar_pairs(rest, texts, docs, least, shingle)))
-    named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("same", "m", F.coalesce("root", "rep").alias("component_id"))
-    return join_stats(own.select("doc_id", "same"), cut(named), ["same"], "m").select("doc_id", "component_id")
+    comp = components(near.unionByName(similar_pairs(rest, texts, chosen, least, shingle)))
+    named = copies.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("k2", "k3", "m", F.coalesce("root", "rep").alias("component_id"))
+    return join_stats(docs.select("doc_id", "k2", "k3"), cut(named), ["k2", "k3"], "m").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
