@@ -250,16 +250,18 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: fl
     others; each pair left is decided on the full sets: a task gets the text of c once, and the texts of up to PAIRS of its partners."""
     # a pair told in both directions is decided once
     pairs = pairs.where("c <> x").groupBy(F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")).agg(F.min(F.col("c") > F.col("x")).alias("turn"))
-    pairs = pairs.select(F.when(F.col("turn"), F.col("b")).otherwise(F.col("a")).alias("c"), F.when(F.col("turn"), F.col("a")).otherwise(F.col("b")).alias("x"))
+    pairs = cut(pairs.select(F.when(F.col("turn"), F.col("b")).otherwise(F.col("a")).alias("c"), F.when(F.col("turn"), F.col("a")).otherwise(F.col("b")).alias("x")))
+    centers = cut(pairs.groupBy("c").agg(F.count("*").alias("m")).withColumn("salts", blocks_of(F.col("m"), PAIRS)))
+    salted = join_stats(pairs, centers, ["c"], "m").select("c", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"), "x")
+    each = centers.select("c", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yes = pa.array([may_be_similar(*v, least) for v in zip(*(b[c].to_pylist() for c in ("n_c", "bits_c", "n_x", "bits_x")), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b["c"].filter(yes), b["x"].filter(yes)], ["c", "x"])
+            yield pa.RecordBatch.from_arrays([b[c].filter(yes) for c in ("c", "salt", "x")], ["c", "salt", "x"])
 
-    for k in "cx":
-        pairs = pairs.join(texts.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")), k)
-    left = cut(pairs.mapInArrow(near, "c long, x long"))
+    of = lambda k: texts.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
+    left = cut(salted.join(of("x"), "x").join(each.join(of("c"), "c"), ["c", "salt"]).mapInArrow(near, "c long, salt int, x long"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, own = None, np.zeros(0, np.uint64)
@@ -275,10 +277,8 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: fl
                     x.append(max(c, other))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64())], ["a", "b"])
 
-    centers = cut(left.groupBy("c").agg(F.count("*").alias("m")).withColumn("salts", blocks_of(F.col("m"), PAIRS)))
-    partners = join_stats(left, centers, ["c"], "m").select("c", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"), "x")
-    partners = partners.join(docs.withColumnRenamed("doc_id", "x"), "x").select("c", "salt", "x", "text")
-    own = centers.select(F.col("c").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(docs, "doc_id").select(F.col("doc_id").alias("c"), "salt", F.lit(None).cast("long").alias("x"), "text")
+    partners = left.join(docs.withColumnRenamed("doc_id", "x"), "x").select("c", "salt", "x", "text")
+    own = left.select("c", "salt").distinct().join(docs.withColumnRenamed("doc_id", "c"), "c").select("c", "salt", F.lit(None).cast("long").alias("x"), "text")
     # nulls sort first: the center comes before its partners
     return own.unionByName(partners).repartition("c", "salt").sortWithinPartitions("c", "salt", "x").mapInArrow(decide, "a long, b long")
 
@@ -388,7 +388,7 @@ def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> Da
     )
     sets = of_key.where("c0.doc_id < c1.doc_id").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "c0", "c1", "c2"), F.struct("sa", "key")).alias("g"))
     sets = cut(sets.select("g.key", "m", F.col("m").alias("holders"), F.array_distinct(F.transform(F.array("g.c0", "g.c1", "g.c2"), lambda c: F.struct(c["doc_id"], c["a"]))).alias("centers")))
-    members = cut(join_stats(rows, sets, ["key"], "m", "inner"))
+    members = cut(join_stats(rows, sets.select("key", "m", "holders"), ["key"], "m", "inner"))
     ids = members.select("doc_id").unionByName(covered.select(F.col("c").alias("doc_id"))).unionByName(covered.select(F.col("x").alias("doc_id"))).distinct()
     chosen = cut_parquet(first.join(ids, "doc_id", "left_semi"))
     release(spark)
@@ -398,11 +398,12 @@ def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> Da
     release(spark)
     known = texts.select("doc_id", "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     each = cut(members.join(known, "doc_id"))
+    hubs = sets.select("key", "m", F.explode("centers").alias("c")).select("key", "m", F.col("c.doc_id").alias("doc_id"), "c.a").join(known, "doc_id")
+    hubs = cut(hubs.groupBy("key", "m").agg(F.collect_list(F.struct("doc_id", "a", "n", "root")).alias("hubs")))
     c = F.col("c")
-    stars = each.select("key", "doc_id", "a", "n", "root", F.explode("centers").alias("c")).where(c["doc_id"] != F.col("doc_id")).select("doc_id", "a", "n", "root", c["doc_id"].alias("c"), c["a"].alias("ca"))
-    stars = stars.join(known.select(F.col("doc_id").alias("c"), F.col("n").alias("cn"), F.col("root").alias("croot")), "c").where("root <> croot")
-    possible = (F.least("a", "ca") >= least / (1 + least) * (F.col("n") + F.col("cn")) - 1e-6) & (F.least("n", "cn") >= least * F.greatest("n", "cn") - 1e-9)
-    stars = cut(stars.where(possible).select("c", F.col("doc_id").alias("x")).distinct())
+    stars = join_stats(each, hubs, ["key"], "m", "inner").withColumn("c", F.explode("hubs")).where(c["root"] != F.col("root"))
+    possible = (F.least("a", c["a"]) >= least / (1 + least) * (F.col("n") + c["n"]) - 1e-6) & (F.least("n", c["n"]) >= least * F.greatest("n", c["n"]) - 1e-9)
+    stars = cut(stars.where(possible).select(c["doc_id"].alias("c"), F.col("doc_id").alias("x")).distinct())
     near = cut(near.unionByName(similar_pairs(stars, texts, chosen, least, shingle)))
     comp = cut(components(near))
     release(spark)
