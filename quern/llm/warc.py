@@ -5,8 +5,9 @@ record as a gzip member of its own and writes a sidecar index of offsets beside
 name of their own and moved when whole, and only files that a finished task has told are read, so a task can be run again anywhere.
 
 Records with equal payloads: the one with the largest page_id is a response, the others are revisits that name it. Cases: a null html is
-an empty payload; a null url is written as empty and read as null; rows with a null page_id are responses, nothing refers to them; of
-repeated rows of the last page_id with equal payloads each is a response; an empty table writes no file.
+an empty payload; a null url is written as empty and read as null, any other is read back as it was; rows with a null page_id are responses,
+nothing refers to them; of repeated rows of the last page_id with equal payloads each is a response, and these share a record id; an empty
+table writes no file; a very long html is one record, which is held whole once; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -33,26 +34,42 @@ STREAM_LEVEL, MEMBER_LEVEL = 1, 4
 #: Bytes read from a stream at a time.
 PIECE = 1 << 18
 MIN_BYTES = 0
+#: Characters that stand for themselves in a target URI, letters and digits aside.
+URI = ":/?#[]@!$&'()*+,;=%-._~"
 
 
 def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, revisit: bool, refers_to: int | None, has_url: bool = True) -> bytes:
+def record_id(page_id: int | None, digest: str, kind: str) -> str:
+    """The URN of a record; that of a response can be told from its page and digest, so that its revisits can name it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}/{kind}')}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, revisit: bool, refers_to: int | None) -> bytes:
     """One WARC/1.1 record; a revisit has the HTTP head alone, with the length of the payload it stands for."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http if revisit else http + payload
+    digest = digest_of(payload)
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{url}/{revisit}')}>",
-        "WARC-Date: 2000-01-01T00:00:00Z", f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%')}", f"WARC-Payload-Digest: sha1:{digest_of(payload)}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, digest, f'revisit/{url}' if revisit else 'response')}",
+        "WARC-Date: 2000-01-01T00:00:00Z", f"WARC-Target-URI: {quote(url or '', safe=URI)}", f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response", f"X-Page-Id: {'' if page_id is None else page_id}", f"X-Has-Url: {int(url is not None)}",
     ]
+    if url is not None and quote(url, safe=URI) != url:
+        head.append(f"X-Url: {json.dumps(url)}")  # what no header may hold as it is
     if revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest, 'response')}", f"X-Refers-To-Page: {refers_to}"]
     return "\r\n".join([*head, f"Content-Length: {len(body)}", "", ""]).encode() + body + b"\r\n\r\n"
 
 
+def url_of(headers: dict) -> str | None:
+    if headers["X-Has-Url"] != "1":
+        return None
+    return json.loads(headers["X-Url"]) if "X-Url" in headers else headers["WARC-Target-URI"]
+
+
 def parse(data: bytes) -> dict:
     """The headers of a record, and its block as 'block'."""
     head, _, rest = data.partition(b"\r\n\r\n")
@@ -183,7 +200,7 @@ def read(files: DataFrame, folder: str) -> DataFrame:
                         if response and (len(payload) != size or digest_of(payload) != said):
                             raise ValueError(f"{name}: a payload differs from its digest")
                         page = r["X-Page-Id"]
-                        rows.append((int(page) if page else None, unquote(r["WARC-Target-URI"]) if r["X-Has-Url"] == "1" else None, size, said, r["WARC-Type"], None if response else int(r["WARC-Refers-To"])))
+                        rows.append((int(page) if page else None, url_of(r), size, said, r["WARC-Type"], None if response else int(r["X-Refers-To-Page"])))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names)
 
     return files.select("path").mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
