@@ -1,11 +1,13 @@
 """Quality rules with host verdicts, in DataFrame operations only.
 
 Rules are judged on each document. Their failures are summed by host (the source column); a beta prior is fitted to the hosts' failure
-rates by moments, each host's rate is shrunk towards it, and hosts whose shrunk rate passes a limit are rejected with all their
-documents. Sums are combined before the shuffle, so a host may hold any share of the rows.
+rates by moments, less what chance alone spreads the rates of small hosts, and each host's rate is shrunk towards it. Hosts whose shrunk
+rate has HOST_ODDS times the odds of the prior's mean are rejected with all their documents. Sums are combined before the shuffle, so a
+host may hold any share of the rows.
 
 Cases: a null text has no words and fails; a null source is a host of its own; repeated rows each give a row and each count for their
-host; an empty table gives no rows.
+host; a rate right at the limit is kept; an empty table gives no rows; a very long text is an array of its words and one of its windows,
+which a row holds at once; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 from .common import SPACE_CLASS, cut, join_stats, let, words
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-#: A host is rejected from this shrunk failure rate on.
-HOST_LIMIT = 0.6
+#: A host is rejected where the odds of its shrunk failure rate are more than so many times those of all hosts.
+HOST_ODDS = 6.0
 
 
 def repeated_words(w: Column) -> Column:
@@ -53,23 +55,26 @@ def rules(docs: DataFrame) -> DataFrame:
 
 
 def host_rates(judged: DataFrame, host: str = "source", failed: str = "base_failed") -> DataFrame:
-    """host, n, failures, and the rate shrunk by a beta prior with the mean and variance of the hosts' rates. The prior's strength is
-    kept between 1 and 1000 rows; with one host, or no variance, it is 1000."""
+    """host, n, failures, the rate shrunk by a beta prior with the mean of all rows and the variance of the hosts' rates, and that mean.
+    The prior's strength is kept between 1 and 1000 rows; with one host, or no variance beyond chance, it is 1000."""
     hosts = judged.groupBy(host).agg(F.count("*").alias("n"), F.sum(F.col(failed).cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("n")
-    prior = hosts.agg(F.sum("failures").alias("_f"), F.sum("n").alias("_n"), F.var_samp(rate).alias("_v"))
+    prior = hosts.agg(F.sum("failures").alias("_f"), F.sum("n").alias("_n"), F.var_samp(rate).alias("_v"), F.avg(1 / F.col("n")).alias("_u"))
     mean = F.col("_f") / F.col("_n")
-    strength = F.coalesce(F.least(F.greatest(mean * (1 - mean) / F.nullif(F.col("_v"), F.lit(0.0)) - 1, F.lit(1.0)), F.lit(1000.0)), F.lit(1000.0))
+    spread = F.greatest(F.col("_v") - mean * (1 - mean) * F.col("_u"), F.lit(0.0))
+    strength = F.coalesce(F.least(F.greatest(mean * (1 - mean) / F.nullif(spread, F.lit(0.0)) - 1, F.lit(1.0)), F.lit(1000.0)), F.lit(1000.0))
     both = hosts.withColumn("_one", F.lit(1)).join(F.broadcast(prior.withColumn("_one", F.lit(1))), "_one")
-    return both.select(host, "n", "failures", ((F.col("failures") + strength * mean) / (F.col("n") + strength)).alias("rate"))
+    return both.select(host, "n", "failures", ((F.col("failures") + strength * mean) / (F.col("n") + strength)).alias("rate"), mean.alias("mean"))
 
 
-def verdicts(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def verdicts(docs: DataFrame, odds: float = HOST_ODDS) -> DataFrame:
     """The figures, host_rate and kept for every row."""
     judged = cut(rules(docs).withColumn("host", F.coalesce("source", F.lit("\x00"))))
-    rates = cut(host_rates(judged, "host").select("host", "n", F.col("rate").alias("host_rate")))
-    joined = join_stats(judged, rates, ["host"], "n")
-    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") < limit)).drop("host", "source")
+    rates = host_rates(judged, "host")
+    # in products, for either rate may be 0 or 1
+    good = F.col("rate") * (1 - F.col("mean")) <= odds * F.col("mean") * (1 - F.col("rate"))
+    rates = cut(rates.select("host", "n", F.col("rate").alias("host_rate"), good.alias("host_kept")))
+    return join_stats(judged, rates, ["host"], "n").withColumn("kept", ~F.col("base_failed") & F.col("host_kept")).drop("host", "source", "host_kept")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -92,9 +97,9 @@ f AS (
   FROM d LEFT JOIN rep USING (r)),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT host, count(*) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS fails FROM j GROUP BY host),
-p AS (SELECT sum(fails) / sum(n) AS m, var_samp(fails / n) AS v FROM h),
-s AS (SELECT m, coalesce(least(greatest(m * (1 - m) / nullif(v, 0) - 1, 1.0), 1000.0), 1000.0) AS k FROM p),
-rates AS (SELECT host, (fails + k * m) / (n + k) AS rate FROM h, s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate < 0.6 AS kept
+p AS (SELECT sum(fails) / sum(n) AS m, var_samp(fails / n) AS v, avg(1.0::DOUBLE / n) AS u FROM h),
+s AS (SELECT m, coalesce(least(greatest(m * (1 - m) / nullif(greatest(v - m * (1 - m) * u, 0), 0) - 1, 1.0), 1000.0), 1000.0) AS k FROM p),
+rates AS (SELECT host, (fails + k * m) / (n + k) AS rate, m FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate * (1 - m) <= 6.0 * m * (1 - rate) AS kept
 FROM j JOIN rates USING (host)
 """
