@@ -7,7 +7,8 @@ from the global one.
 
 host and path are columns; documents have no paths, so source and lang stand for them. Labels are learned from at most SAMPLE rows of a
 class. Cases: a null or empty text is of low quality; a null host or path is one of its own; without labels of both classes the evidence
-of every text with words is 0; repeated rows each give a row and each count.
+of every text with words is 0; repeated rows each give a row and each count; a document right at the limit is rejected; an empty table gives
+no rows; a very long text is read whole; other columns keep their values, whatever their names.
 """
 
 from __future__ import annotations

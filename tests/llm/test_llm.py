@@ -5,6 +5,7 @@ import hashlib
 import io
 import json
 import random
+import time
 import zlib
 
 import numpy as np
@@ -375,3 +376,168 @@ def test_similar_in_tiles(spark, monkeypatch):
     rows += [(100 + i, " ".join(["all of them say this", *(f"u{i}x{j}" for j in range(rng.randrange(1, 4)))])) for i in range(30)]
     rows += [(200 + i, rows[i][1].upper()) for i in range(5)] + [(300, ""), (301, None), (302, "  "), (303, "x"), (304, "X ")]
     assert found_classes(spark, rows) == exact_classes(rows)
+
+
+def test_warc_urls(spark, tmp_path):
+    rng = random.Random(6)
+    urls = [None, "", "http://x/a%41b%20c", "http://x/ü ö", " http://x/ ", "http://x/\r\nX-Has-Url: 0", "%", "a: b"] + ["".join(rng.choice("a%/ é\n:") for _ in range(9)) for _ in range(40)]
+    rows = [(i, u, rng.choice(["<p>x</p>", "", f"<p>{i}</p>"])) for i, u in enumerate(urls)]
+    folder = f"file://{tmp_path}/w"
+    files = common.cut(warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), folder))
+    got = {r.page_id: r for r in warc.read(files, folder).collect()}
+    last = {h: max(i for i, _, x in rows if x == h) for _, _, h in rows}
+    for i, u, h in rows:
+        assert (got[i].url, got[i].payload_bytes, got[i].record_type, got[i].refers_to) == (u, len(h), "response" if last[h] == i else "revisit", None if last[h] == i else last[h])
+    one, two = warc.record(3, "u", b"p", True, 9), warc.record(9, "v", b"p", False, None)
+    assert warc.parse(one)["WARC-Refers-To"] == warc.parse(two)["WARC-Record-ID"] != warc.parse(one)["WARC-Record-ID"]
+
+
+def test_host_verdicts(spark):
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    rows = [(h, good if i % 10 else bad) for h in range(30) for i in range(50)]  # a failure in ten
+    rows += [(100, bad if i % 10 else good) for i in range(50)]  # nearly all fail
+    rows += [(101, bad), (101, good), (102, good)]  # too few to tell
+    df = spark.createDataFrame([(i, t, f"s{h}") for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    for r in quality_rules.digest(df).collect():
+        h, t = rows[r.doc_id]
+        assert r.base_failed == (t == bad) and r.kept == (t == good and h != 100)
+    rates = {r.source: r for r in quality_rules.host_rates(quality_rules.rules(df)).collect()}
+    f, n = {}, {}
+    for h, t in rows:
+        n[h] = n.get(h, 0) + 1
+        f[h] = f.get(h, 0) + (t == bad)
+    m, v = sum(f.values()) / len(rows), np.var([f[h] / n[h] for h in n], ddof=1)
+    k = min(1000.0, max(1.0, m * (1 - m) / (v - m * (1 - m) * np.mean([1 / x for x in n.values()])) - 1))
+    assert all(abs(rates[f"s{h}"].rate - (f[h] + k * m) / (n[h] + k)) < 1e-9 for h in n)
+
+
+def test_site_rates(spark):
+    rng = random.Random(3)
+    rows = [(f"h{rng.randrange(6)}", f"p{rng.randrange(4)}", rng.random()) for _ in range(300)] + [("one", "p0", 0.9), (None, "p1", 0.2), (None, None, 0.3)]
+    got = {(r._h, r._p): r for r in quality.site_rates(spark.createDataFrame(rows, "host string, path string, p double"), "host", "path").collect()}
+    paths, hosts = {}, {}
+    for h, p, x in rows:
+        paths.setdefault((h or "\x00", p or "\x00"), []).append(x)
+        hosts.setdefault(h or "\x00", []).append(x)
+    strength = lambda m, v: 1000.0 if not v else min(1000.0, max(1.0, m * (1 - m) / v - 1))
+    base = np.mean([x for v in hosts.values() for x in v])
+    k = strength(base, np.var([np.mean(v) for v in hosts.values()], ddof=1))
+    host = {h: (sum(v) + k * base) / (len(v) + k) for h, v in hosts.items()}
+    spread = np.mean([(np.mean(v) - host[h]) ** 2 for (h, _), v in paths.items()])
+    for (h, p), v in paths.items():
+        k = strength(host[h], spread)
+        assert abs(got[h, p].host_rate - host[h]) < 1e-9 and abs(got[h, p].path_rate - (sum(v) + k * host[h]) / (len(v) + k)) < 1e-9 and abs(got[h, p].base_rate - base) < 1e-9
+
+
+def test_best_run():
+    rng = random.Random(7)
+    for _ in range(300):
+        s = [rng.choice([-3.0, -1.0, -0.5, 0.5, 1.0, 2.0]) for _ in range(rng.randrange(0, 14))]
+        a, b = html.best_run(s)
+        assert sum(s[a:b]) == max([0.0, *(sum(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1))])
+
+
+def test_html_classes():
+    prose = "one two three four five. " * 40
+    assert html.extract(f'<article><div class="search-results tags">{prose}</div></article>') == prose.strip()
+    assert html.extract('<article><p>A <b class="ad">great</b> day.</p><div class="ad">Buy</div><p><span class="advert">Buy</span></p></article>') == "A great day."
+    assert html.extract(f'<article><p>Text here.</p><div class="comments"><p>{prose}</p></div><div class="ad">{prose}</div></article>') == "Text here."
+
+
+@pytest.mark.parametrize("bad", ["<a " + "b='" * 100000, "<a " * 100000, "<div class=a>" * 30000, "<b>" * 30000 + "<p>x" * 30000, "<a b='>'" * 50000, "".join(f"<div class='k{i}'>" for i in range(20000)), "<![CDATA[" * 50000])
+def test_html_is_linear(bad):
+    begun = time.time()
+    html.extract(bad)
+    assert time.time() - begun < 5
+
+
+@pytest.mark.parametrize("bad", ["eyJ" * 200000, "eyJ." * 100000, "MI" * 200000, ("MIIB" * 16 + "\n") * 8000, "-----BEGIN PRIVATE KEY-----" * 20000, "token=" * 100000])
+def test_secrets_are_linear(bad):
+    begun = time.time()
+    secrets.base_spans(bad)
+    secrets.structural_spans(bad)
+    assert time.time() - begun < 5
+
+
+def brute_base(text):
+    """Base spans character by character."""
+    out = []
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    digits, upper, lower = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    at = 0
+    while at < len(text):
+        word = next((k for k in ("password", "passwd", "secret", "token", "api_key", "apikey") if text[at : at + len(k)].lower() == k and text[at : at + len(k)].isascii()), None)
+        end = None
+        if word:
+            for skip in (1, 0):
+                i = at + len(word)
+                if skip and text[i : i + 1] not in ("'", '"'):
+                    continue
+                i = run(i + skip, " ")
+                if text[i : i + 1] not in (":", "="):
+                    continue
+                i = run(i + 1, " ")
+                i += text[i : i + 1] in ("'", '"')
+                stop = run(i, digits + upper + lower + "+/_.=-")
+                if stop > i:
+                    end = stop
+                    if stop - i >= 8:
+                        out.append((at, stop, "assign"))
+                    break
+        at = end or at + 1
+    for start, allowed, least, kind in (("AKIA", upper + digits, 16, "access"), ("", digits + "abcdef", 32, "hex")):
+        at = 0
+        while at < len(text):
+            end = run(at, allowed) if text.startswith(start, at) else at
+            if end - at > len(start) if start else end > at:
+                if end - at >= least:
+                    out.append((at, end, kind))
+                at = end
+            else:
+                at += 1
+    return sorted(out)
+
+
+def test_base_spans():
+    rng = random.Random(11)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "AKIA", "=", ":", " ", "'", '"', "abcdef0123456789", "ABCDEFGH1234", "é", "\n", "x.-/+_", "ſecret", "toKen"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        assert sorted(secrets.base_spans(text)) == brute_base(text), text
+
+
+def test_secret_encodings():
+    key = der()
+    flat = base64.b64encode(key).decode()
+    wrapped = "\n".join(flat[i : i + 64] for i in range(0, len(flat), 64))
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped}\n-----END RSA PRIVATE KEY-----\n"
+    kinds = lambda t: [t[a:b] if k == "der" else k for a, b, k in secrets.structural_spans(t)]
+    assert kinds(f"see\n{wrapped}\nhello world") == [wrapped]
+    assert kinds(f"x/{flat} y") == [flat] and kinds(f"k: {flat}, z") == [flat]
+    url = base64.urlsafe_b64encode(b"\x30" + key[1:]).decode().rstrip("=")
+    assert kinds(f"k={url}.") == [url]
+    assert kinds(base64.b64encode(pem.encode()).decode()) == ["pem"] and kinds(pem) == ["pem"]
+    assert kinds(flat[:-8]) == [] and kinds("MIIB" * 60) == []
+    tlv = lambda tag, body: bytes([tag]) + (bytes([len(body)]) if len(body) < 128 else bytes([0x82]) + len(body).to_bytes(2, "big")) + body
+    dsa = tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, bytes([1]) * n) for n in (128, 20, 128, 128, 20)))
+    assert secrets.is_der_key(dsa) and not secrets.is_der_key(tlv(0x30, tlv(2, b"\0") + tlv(2, b"\1") * 5))
+    many = tlv(0x30, tlv(2, b"\1") + b"".join(tlv(2, bytes([i]) * 40) for i in range(1, 9)) + tlv(0x30, b"".join(tlv(0x30, tlv(2, b"\5") * 3) for _ in range(30))))
+    assert secrets.is_der_key(many)
+
+
+def test_long_texts(spark, labels, benchmark):
+    """A text of some megabytes in every operator."""
+    text = " ".join(f"w{i % 977}x{i % 53}" for i in range(150_000))
+    d = spark.createDataFrame([(1, text, "en", "s", 1), (2, text + " end", "en", "s", 1)], DOC)
+    assert [r.n_removed for r in substr.digest(d).orderBy("doc_id").collect()][0] == 0 and substr.digest(d).where("doc_id = 2").first().n_removed == 150_000
+    assert simhash.digest(d).select("component_id").distinct().count() == 1 and simhash.keep_one(d).count() == 1
+    assert quality_rules.digest(d).first().n_words in (150_000, 150_001) and decontam.digest(d, benchmark).count() == 2
+    assert secrets.digest(d).count() == bpe.digest(d, queries.tokenizer_path()).count() == toxicity.digest(d, labels).count() == quality.digest(d, labels).count() == 2
+    page = spark.createDataFrame([(1, "u", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")
+    assert html.main_text(page).first().text == text and warc.round_trip(page).first().payload_bytes == len(text) + 26
