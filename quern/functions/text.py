@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ BLANK = r"[ \t\n\r\f\x0B]+"
 ACCENTED = "čćžšđ"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body over a value that is computed once a row, wherever the optimizer moves what uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ws_normalize(c: Column) -> Column:
     return F.btrim(F.regexp_replace(c, BLANK, " "))
 

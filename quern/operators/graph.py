@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import cut
+
 
 def node_id(kind: str, c: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), c.cast("string"))
@@ -38,50 +41,76 @@ def projection(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.count("*").alias("weight"))
 
 
-def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
-    """id, hops: the nearest distance of nodes from any seed, seeds left out. Each hop joins its frontier only."""
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1, etypes: Sequence[str] | None = None, documents: str | None = None) -> DataFrame:
+    """id, hops: the nearest distance of nodes from any seed, seeds left out. Only edges of the types are walked, and only to nodes whose id
+    starts with the prefix of documents, where one is given. Each hop joins its frontier only; edges and frontiers are written once."""
+    if etypes is not None:
+        edges = edges.where(F.col("etype").isin(*etypes))
+    if documents is not None:
+        edges = edges.where(F.col("src").startswith(documents) & F.col("dst").startswith(documents))
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     seen = seeds.select("id", F.lit(0).alias("hops"))
     front = seen
     for h in range(1, hops + 1):
         near = front.join(both, front.id == both.src).select(F.col("dst").alias("id")).distinct()
-        front = near.join(seen, "id", "left_anti").withColumn("hops", F.lit(h))
+        front = cut(near.join(seen, "id", "left_anti").withColumn("hops", F.lit(h)))
         seen = seen.unionByName(front)
     return seen.where("hops > 0")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage; through the cluster's folder, if it names one."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) is not None else df.localCheckpoint()
+def neighbours(edges: DataFrame, seeds: DataFrame, hops: int = 1, etypes: Sequence[str] | None = None, documents: str | None = None) -> DataFrame:
+    """id, hops, etype, layer, direction: expand(), and each distinct link by which a node is reached at its nearest distance; direction
+    is out where the edge leads to the node."""
+    found = cut(expand(edges, seeds, hops, etypes, documents))
+    own = edges if etypes is None else edges.where(F.col("etype").isin(*etypes))
+    walked = own.select("src", "dst", "etype", "layer", F.lit("out").alias("direction")).unionByName(own.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "etype", "layer", F.lit("in").alias("direction")))
+    depth = found.unionByName(seeds.select("id", F.lit(0).alias("hops")).distinct())
+    last = depth.select(F.col("id").alias("src"), (F.col("hops") + 1).alias("hops"))
+    return found.join(walked.join(last, "src").withColumnRenamed("dst", "id"), ["id", "hops"]).select("id", "hops", "etype", "layer", "direction").distinct()
+
+
+def descendants(edges: DataFrame, roots: DataFrame, etype: str) -> DataFrame:
+    """id, target: the nodes that an edge of the type leads to, of every root."""
+    return edges.where(F.col("etype") == etype).join(roots, edges.src == roots.id, "left_semi").select(F.col("src").alias("id"), F.col("dst").alias("target")).distinct()
 
 
 def pagerank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, rounds: int = 100, tol: float = 1e-4) -> DataFrame:
-    """id, score: personalized PageRank over the weighted undirected projection, until a round changes the scores by less than tol in
-    sum, or for a number of rounds. Lineage is cut every round."""
+    """id, score of every node of an edge and every seed: personalized PageRank over the weighted undirected projection, until a round
+    changes the scores by less than tol in sum, or for a number of rounds. What a seed without an edge holds goes back to the seeds. Seeds
+    are nodes of the graph; without any there are no rows. Lineage is cut every round."""
     p = projection(edges)
     both = p.select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight").unionByName(p.select(F.col("b").alias("src"), F.col("a").alias("dst"), "weight"))
     out = both.groupBy("src").agg(F.sum("weight").alias("total"))
-    step = _cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
-    nodes = step.select(F.col("src").alias("id")).distinct()
-    n = seeds.count() or 1
-    state = _cut(nodes.join(seeds.select("id", F.lit(1.0 / n).alias("p")), "id", "left").fillna(0.0, ["p"]).withColumn("score", F.col("p")))
+    step = cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+    seeds = cut(seeds.select("id").distinct())
+    n = seeds.count()
+    linked = step.select(F.col("src").alias("id"), F.lit(True).alias("linked")).distinct()
+    nodes = linked.join(seeds.select("id", F.lit(1.0 / max(1, n)).alias("p")), "id", "full").where(F.lit(n > 0))
+    state = cut(nodes.select("id", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("linked", F.lit(False)).alias("linked")).withColumn("score", F.col("p")))
     for _ in range(rounds):
+        loose = state.where("not linked").agg(F.sum("score")).first()[0] or 0.0
         moved = state.join(step, state.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("share")).alias("m"))
-        new = (1 - alpha) * F.col("p") + alpha * F.coalesce("m", F.lit(0.0))
-        state = _cut(state.join(moved, "id", "left").select("id", "p", new.alias("score"), F.abs(new - F.col("score")).alias("change")))
+        new = (1 - alpha + alpha * loose) * F.col("p") + alpha * F.coalesce("m", F.lit(0.0))
+        state = cut(state.join(moved, "id", "left").select("id", "p", "linked", new.alias("score"), F.abs(new - F.col("score")).alias("change")))
         if (state.agg(F.sum("change")).first()[0] or 0.0) < tol:
             break
     return state.select("id", "score")
 
 
+def ranked(edges: DataFrame, seeds: DataFrame, k: int = 10, documents: str = "doc:", **more: float) -> DataFrame:
+    """The k best nodes by pagerank() whose id starts with the prefix, seeds left out; ties by id."""
+    scores = pagerank(edges, seeds, **more).join(seeds, "id", "left_anti").where(F.col("id").startswith(documents))
+    return scores.orderBy(F.desc("score"), "id").limit(k)
+
+
 def min_label_components(edges: DataFrame) -> DataFrame:
     """id, component: labels spread by one hop a round until none changes; for graphs of small diameter."""
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    label = _cut(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component")))
+    label = cut(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component")))
     while True:
         near = both.join(label, both.dst == label.id).groupBy("src").agg(F.min("component").alias("m"))
         spread = F.least("component", F.coalesce("m", "component"))
-        label = _cut(label.join(near, label.id == near.src, "left").select("id", spread.alias("component"), (spread < F.col("component")).alias("changed")))
+        label = cut(label.join(near, label.id == near.src, "left").select("id", spread.alias("component"), (spread < F.col("component")).alias("changed")))
         if not label.where("changed").limit(1).count():
             return label.select("id", "component")
 

@@ -41,9 +41,15 @@ def unique_identifier_owner(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.unique_owner(load(spark, sf, "pages").select(T.netloc(F.col("url")).alias("host"), "page_id"), "host", "page_id")
 
 
-@query("SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey)) AS l_shipdate, arg_min(l_returnflag, (l_linenumber, l_partkey)) FILTER (l_returnflag IS NOT NULL) AS l_returnflag FROM lineitem GROUP BY l_orderkey")
+_FIRST = "(l_linenumber, l_partkey, l_suppkey, l_shipdate, l_returnflag)"
+
+
+@query(f"SELECT l_orderkey, arg_min(l_shipdate, {_FIRST}) AS l_shipdate, arg_min(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, {_FIRST}) FILTER (l_returnflag <> 'N') AS l_returnflag FROM lineitem GROUP BY l_orderkey")
 def group_first_nonnull(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.group_first(load(spark, sf, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey"], ["l_shipdate", "l_returnflag"])
+    # the flag N counts as missing; the order is total, for line numbers repeat within an order
+    li = load(spark, sf, "lineitem").withColumn("flag", F.nullif("l_returnflag", F.lit("N")))
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"]
+    return dedup.group_first(li, "l_orderkey", order, ["l_shipdate", "flag"]).withColumnRenamed("flag", "l_returnflag")
 
 
 @query("SELECT n_name, CASE WHEN r_name = 'ASIA' THEN 'probe' ELSE 'all' END AS slice, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY r_name = 'ASIA' ORDER BY c_acctbal DESC, c_custkey) AS k FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) WHERE r_name <> 'ASIA' OR k <= 25")
@@ -192,7 +198,7 @@ def graph_projection(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def ppr(spark: SparkSession, sf: str) -> DataFrame:
     edges = _graph(spark, sf)[1]
-    return graph.pagerank(edges, spark.createDataFrame([("doc:1",)], "id string")).select("id", F.round("score", 9).alias("score")).orderBy(F.desc("score"), "id").limit(20)
+    return graph.ranked(edges, spark.createDataFrame([("doc:1",)], "id string"), 20).select("id", F.round("score", 9).alias("score"))
 
 
 @query("WITH RECURSIVE x AS (SELECT 'bloc:' || r_regionkey AS id, 'bloc:' || r_regionkey AS component FROM region) SELECT id, component FROM x UNION ALL SELECT 'country:' || n_nationkey, 'bloc:' || n_regionkey FROM nation UNION ALL SELECT 'doc:' || c_custkey, 'bloc:' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey")
