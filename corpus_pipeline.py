@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import bpe, decontam, quality, secrets, simhash
-from quern.llm.common import shared_dir, table
+from quern.llm.common import remove_at_exit, shared_dir, table
 from quern.llm.queries import tokenizer_path
 
 #: Near-duplicates: words of a shingle and least similarity. Decontamination: one item with an occurring window is enough here.
@@ -49,8 +49,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents, and returns the last one's rows."""
+    """Applies the stages to documents, and returns the last one's rows. What the stages wrote goes when the driver ends."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")

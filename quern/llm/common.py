@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import atexit
 import gc
-import shutil
-import tempfile
 import uuid
-import zipfile
-from collections.abc import Callable, Sequence
-from pathlib import Path
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import cut, shared_dir, ship
+from ..functions.text import let  # noqa: F401  for the operators
+
 #: White space that ends a word: space, tab, line feed, vertical tab, form feed, return.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -24,24 +23,6 @@ BROADCAST_ROWS = 50_000
 HEAVY, SALTS = 20_000, 64
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once an application, so that Python workers can import it wherever they start."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="quern-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    with zipfile.ZipFile(f"{folder}/quern_package.zip", "w") as z:
-        for f in root.rglob("*.py"):
-            z.write(f, f.relative_to(root.parent))
-    spark.sparkContext.addPyFile(f"{folder}/quern_package.zip")
-    _shipped.add(app)
-
-
 def tune(spark: SparkSession) -> None:
     """Arrow batches small enough for long texts, and the package on the executors."""
     ship(spark)
@@ -49,36 +30,19 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset, a temporary one (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-        if folder:
-            return folder
-        folder = tempfile.mkdtemp(prefix="quern-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        folder = f"file://{folder}"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: the rows are written to the shared folder and read from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def cut_parquet(df: DataFrame) -> DataFrame:
     """Like cut(), as Parquet: for wide rows, which it compresses. The files go when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    remove_at_exit(spark, path)
     return spark.read.parquet(path)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    atexit.register(_remove, spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -98,11 +62,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body over a value that is computed once a row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(text: Column) -> Column:
     """The words of a text (null: none)."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))
