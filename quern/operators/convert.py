@@ -97,9 +97,18 @@ class _Markdown(HTMLParser):
             self.blocks.append(f"```\n{body}\n```" if self.pre else self.mark + body)
         self.text, self.mark = [], ""
 
+    def end_cell(self) -> None:
+        if self.cell is not None and self.rows is not None:
+            if not self.rows:
+                self.rows.append([])
+            self.rows[-1].append(" ".join("".join(self.cell).split()))
+        self.cell = None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in self.SKIP:
             self.skip += 1
+        if tag in ("td", "th", "tr"):
+            self.end_cell()
         self.depth += tag == self.inside
         if tag in self.BLOCK and self.cell is None:
             self.flush()
@@ -119,12 +128,9 @@ class _Markdown(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in self.SKIP and self.skip:
             self.skip -= 1
-        if tag in ("td", "th") and self.cell is not None and self.rows is not None:
-            if not self.rows:
-                self.rows.append([])
-            self.rows[-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
-        elif tag == "table" and self.rows is not None:
+        if tag in ("td", "th", "tr", "table"):
+            self.end_cell()
+        if tag == "table" and self.rows is not None:
             rows, self.rows, self.cell = [r for r in self.rows if any(r)], None, None
             if rows:
                 self.blocks.append(table(rows))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..cluster import shared_dir
 from ..functions import text as T
 from ..operators import chunking, dedup, discovery, graph, incremental, layout, lines, links
 from ..session import load
@@ -92,9 +93,12 @@ def response_classify(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "events").select("event_id", discovery.response_class(F.lit(200) + F.col("event_id") % 7 * 51, F.col("event_type")).alias("outcome"))
 
 
-@query("""WITH c AS (SELECT user_id, ts, event_id, event_type, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+_FOLD = """WITH c AS (SELECT user_id, ts, event_id, event_type, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 i AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM c), g AS (SELECT user_id, i, count(*) AS n, min(event_type) AS v FROM i GROUP BY 1, 2)
-SELECT user_id, arg_max(n, i) - 1 AS confirms, arg_max(v, i) AS last_value FROM g GROUP BY 1""")
+SELECT user_id, arg_max(n, i) - 1 AS confirms, arg_max(v, i) AS last_value FROM g GROUP BY 1"""
+
+
+@query(_FOLD)
 def validator_fold(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events").withColumn("o", F.struct("ts", "event_id"))
     return incremental.validator_fold(e, "user_id", "o", "event_type")
@@ -248,15 +252,24 @@ def link_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return links.html_links(load(spark, sf, "pages")).groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
-@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+_WINDOWS = "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"
+
+
+@query(_WINDOWS)
 def windowed_events(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-@query()
+@query(_WINDOWS)
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Drains the events by Structured Streaming, in update mode; the folder of checkpoints is the cluster's, if it names one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quern-")
+    """Drains the events by Structured Streaming into the shared folder."""
     counted = stream.windowed(stream.source(spark, f"{sf}/events.parquet*"))
-    name = f"stream_windows_{abs(hash(sf)) % 10**8}"
-    return stream.run_once(counted, name, f"{base}/stream-{name}-{spark.sparkContext.applicationId}", "complete").select("start", "event_type", "n")
+    return stream.run_once(counted, f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", "complete").select("start", "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(_FOLD)
+def validator_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The counter of equal values kept between batches; of a user's rows the last one holds."""
+    folded = stream.run_once(stream.confirms(stream.source(spark, f"{sf}/events.parquet*")), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", "update")
+    last = folded.groupBy("user_id").agg(F.max_by(F.struct("confirms", "last_value"), "batch").alias("x"))
+    return last.select("user_id", "x.confirms", "x.last_value")

@@ -50,4 +50,4 @@ def json_dump(spark: SparkSession, path: str, schema: str | None = None) -> Data
 
 def text_documents(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
     """path, text: whole files."""
-    return spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))

@@ -33,8 +33,14 @@ def confirms(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(fold, "user_id long, confirms long, last_value string", "n long, last string", "update", "NoTimeout")
 
 
-def run_once(df: DataFrame, name: str, checkpoint: str, mode: str) -> DataFrame:
-    """Drains what is there and returns the memory sink's table."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_once(df: DataFrame, folder: str, mode: str) -> DataFrame:
+    """Drains what is there into Parquet files below folder, and returns their rows: those of the last batch in complete mode, else those of
+    all batches, with the batch they came in. The checkpoint is kept there too, so a run that was stopped goes on where it was."""
+    path = f"{folder}/rows"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/part={number}")
+
+    q = df.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.parquet(path)
