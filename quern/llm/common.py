@@ -31,12 +31,23 @@ def tune(spark: SparkSession) -> None:
 
 
 def cut_parquet(df: DataFrame) -> DataFrame:
-    """Like cut(), as Parquet: for wide rows, which it compresses. The files go when the driver ends."""
+    """Like cut(), as Parquet: for wide or many rows, which it compresses. The files go when the driver ends, or by discard()."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     remove_at_exit(spark, path)
-    return spark.read.parquet(path)
+    made = spark.read.parquet(path)
+    _written[id(made)] = path
+    return made
+
+
+_written: dict[int, str] = {}
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a table of cut_parquet() that nothing reads any more."""
+    if (path := _written.pop(id(df), None)) is not None:
+        _remove(df.sparkSession, path)
 
 
 def remove_at_exit(spark: SparkSession, path: str) -> None:

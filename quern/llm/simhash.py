@@ -23,10 +23,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_of, cut, cut_parquet, join_stats, release, tiled, tune
+from .common import blocks_of, cut, cut_parquet, discard, join_stats, release, tiled, tune
 from .substr import grams, word_hashes
 
 BITS, SEED = 64, 42
@@ -161,7 +161,7 @@ def digest(docs: DataFrame) -> DataFrame:
 #: They only set the order in which shingles are tried, so no pair depends on them.
 COUNTED, COMMON, COMMONS = 1 << 22, 3, 500_000
 #: Documents and bytes of a block of a group; pairs of a document that are decided in one task.
-GROUP, GROUP_BYTES, PAIRS = 512, 4 << 20, 512
+GROUP, GROUP_BYTES, PAIRS = 512, 4 << 20, 128
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -328,8 +328,8 @@ def _folded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, component_id of every row with a doc_id: the components of all pairs of texts whose sets of shingles have the Jaccard
     similarity. Links of the covering tables come first. Then come pairs that share a shingle of prefix(), which loses none: each document is
-    held against three others of each shingle it is found by; then, under each shingle, the documents that are not in one component yet
-    are held against one another, in tiles of two blocks. Only sums and minima are gathered by shingle, so one may be in any share of
+    held against three others of the shingle that most share with it, then of each shingle it is found by; then, under each shingle, the
+    documents that are not in one component yet are held against one another, in tiles of two blocks. Only sums and minima are gathered by shingle, so one may be in any share of
     the documents. Every link is decided on the full sets. Repeated rows of an id count as copies, one of them is compared."""
     spark = docs.sparkSession
     tune(spark)
@@ -378,30 +378,41 @@ def similar_classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> Da
     schema = "key long, doc_id long, after int"
     w = Window.partitionBy("key")
     rare = first.mapInArrow(found_by(False), schema).withColumns({"m": F.count("*").over(w), "early": F.max(F.col("after") % 2).over(w)}).where("m > 1 and early = 1")
-    rows = cut(rare.select("key", "doc_id", "after").unionByName(first.mapInArrow(found_by(True), schema)).select("key", "doc_id", F.shiftright("after", 1).alias("a")))
-    release(spark)
-
-    # shingles of the same documents count once: the one that comes first in the order
-    of_key = rows.groupBy("key").agg(
-        F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("s1"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("s2"), F.sum("a").alias("sa"),
-        *[F.min(F.struct(by.alias("o"), "doc_id", "a")).alias(f"c{k}") for k, by in enumerate((F.col("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("doc_id")))],
-    )
-    sets = of_key.where("c0.doc_id < c1.doc_id").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "c0", "c1", "c2"), F.struct("sa", "key")).alias("g"))
-    sets = cut(sets.select("g.key", "m", F.col("m").alias("holders"), F.array_distinct(F.transform(F.array("g.c0", "g.c1", "g.c2"), lambda c: F.struct(c["doc_id"], c["a"]))).alias("centers")))
-    members = cut(join_stats(rows, sets.select("key", "m", "holders"), ["key"], "m", "inner"))
-    ids = members.select("doc_id").unionByName(covered.select(F.col("c").alias("doc_id"))).unionByName(covered.select(F.col("x").alias("doc_id"))).distinct()
+    rows = cut_parquet(rare.select("key", "doc_id", "after").unionByName(first.mapInArrow(found_by(True), schema)).select("key", "doc_id", F.shiftright("after", 1).alias("a")))
+    ids = rows.select("doc_id").unionByName(covered.select(F.col("c").alias("doc_id"))).unionByName(covered.select(F.col("x").alias("doc_id"))).distinct()
     chosen = cut_parquet(first.join(ids, "doc_id", "left_semi"))
     release(spark)
 
-    near = cut(similar_pairs(covered, texts, chosen, least, shingle))
+    def centers(of: DataFrame, *more: Column) -> DataFrame:
+        """key, m, centers: for each shingle up to three documents of it, the first, the last and any; and more."""
+        one = [F.min(F.struct(by.alias("o"), *of.columns)).alias(f"_c{k}") for k, by in enumerate((F.col("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("doc_id")))]
+        own = of.groupBy("key").agg(F.count("*").alias("m"), *one, *more).where("_c0.doc_id < _c1.doc_id")
+        each = F.transform(F.array("_c0", "_c1", "_c2"), lambda c: F.struct(*[c[x].alias(x) for x in of.columns if x != "key"]))
+        return own.withColumn("centers", F.array_distinct(each)).drop("_c0", "_c1", "_c2")
+
+    # first each document under the shingle that most others have: this joins most of a family by a few pairs each
+    sized = texts.select("doc_id", "n")
+    most = join_stats(rows, cut(centers(rows).withColumn("others", F.col("m"))), ["key"], "m", "inner").groupBy("doc_id").agg(F.max_by(F.struct("a", "centers"), F.struct("others", "key")).alias("x"))
+    tried = most.join(sized, "doc_id").select("doc_id", "n", "x.a", F.explode("x.centers").alias("c")).where(F.col("c.doc_id") != F.col("doc_id"))
+    # what follows their first common shingle in either set holds all they have in common
+    early_enough = F.least("a", "c.a") >= least * F.col("n") - 1e-6
+    near = cut(similar_pairs(covered.unionByName(tried.where(early_enough).select(F.col("c.doc_id").alias("c"), F.col("doc_id").alias("x"))), texts, chosen, least, shingle))
     comp = cut(components(near))
     release(spark)
-    known = texts.select("doc_id", "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    each = cut(members.join(known, "doc_id"))
-    hubs = sets.select("key", "m", F.explode("centers").alias("c")).select("key", "m", F.col("c.doc_id").alias("doc_id"), "c.a").join(known, "doc_id")
-    hubs = cut(hubs.groupBy("key", "m").agg(F.collect_list(F.struct("doc_id", "a", "n", "root")).alias("hubs")))
+
+    # then under every shingle whose documents are not in one component; shingles of the same documents count once, by the first in the order
+    known = sized.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    rooted = cut_parquet(rows.join(known, "doc_id").select("key", "doc_id", "a", "n", "root"))
+    discard(rows)
+    low = F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    sets = centers(rooted, F.sum(low).alias("s1"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("s2"), F.sum("a").alias("sa"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sets = sets.where("low < high").groupBy("m", "s1", "s2").agg(F.max_by(F.struct("key", "centers"), F.struct("sa", "key")).alias("g"))
+    sets = cut(sets.select("g.key", "m", F.col("m").alias("holders"), "g.centers"))
+    each = cut_parquet(join_stats(rooted, sets.select("key", "m", "holders"), ["key"], "m", "inner"))
+    discard(rooted)
+    release(spark)
     c = F.col("c")
-    stars = join_stats(each, hubs, ["key"], "m", "inner").withColumn("c", F.explode("hubs")).where(c["root"] != F.col("root"))
+    stars = join_stats(each, sets.select("key", "m", "centers"), ["key"], "m", "inner").withColumn("c", F.explode("centers")).where(c["root"] != F.col("root"))
     possible = (F.least("a", c["a"]) >= least / (1 + least) * (F.col("n") + c["n"]) - 1e-6) & (F.least("n", c["n"]) >= least * F.greatest("n", c["n"]) - 1e-9)
     stars = cut(stars.where(possible).select(c["doc_id"].alias("c"), F.col("doc_id").alias("x")).distinct())
     near = cut(near.unionByName(similar_pairs(stars, texts, chosen, least, shingle)))
