@@ -2,14 +2,16 @@
 
 The suffixes of all documents are sampled: of each window of W words, the k-word prefix with the least hash (the leftmost on ties) is its
 anchor. Equal windows have equal anchors at equal places, so a tree over the suffixes at anchors, with the words to their left, holds
-every repeated window; no other suffix is moved. Suffixes are dealt by variable-length prefixes: k words first, and where a prefix has
-more suffixes than fit a memory-sized group, the prefix is drawn out to the whole window, whose group is then one node and needs no more
-than a combined minimum. Every other group becomes subtrees, one of suffixes and one of reversed left contexts, named level by level;
-a window is the pair of a left node and a right node whose depths add up to W, and the deep nodes reached by several documents are the
-repeats. Documents with equal words are folded into the one with the smallest id before anything is dealt.
+every repeated window; no other suffix is moved. Suffixes are dealt by variable-length prefixes: by the k words of the anchor first, and
+where more suffixes share these than fit a memory-sized group, by ever longer ones: windows with so many words left of the anchor share the
+more words around it the narrower that range is, and in the end all W. Suffixes with equal words are one before that, the earliest
+document's; the others lose what it loses, and all windows. Every group becomes subtrees, one of suffixes and one of reversed left contexts,
+named level by level; a window is the pair of a left node and a right node whose depths add up to W, and the deep nodes reached by several
+documents are the repeats. Documents with equal words are folded into the one with the smallest id before anything is dealt.
 
 Cases: a null text has no words; a document of fewer than W words loses none; repeated rows of one id don't remove each other, for
-neither id is smaller; rows with a null id keep all words and remove none.
+neither id is smaller; rows with a null id keep all words and remove none; an empty table gives no rows; a very long text is one row's
+words at a time; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, cut_parquet, join_stats, row_key, tune
 
-#: Words of a window, words of an anchor's prefix, suffixes of a prefix from which it is drawn out, suffixes of a tree in memory.
+#: Words of a window, words of an anchor's prefix, suffixes of a prefix from which equal ones are made one, suffixes of a group in memory.
 W, K, HOT, GROUP = 50, 8, 512, 16_384
+#: Into how many ranges the words left of an anchor are parted, as prefixes grow.
+RANGES = (4, 16)
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -120,45 +124,36 @@ def _sketch(docs: DataFrame, w: int, k: int) -> DataFrame:
 
 
 def _entries(docs: DataFrame, w: int) -> DataFrame:
-    """Suffixes with their contexts (hot false), or a digest of their words and two hashes of each whole window (hot true)."""
-    names = ["hot", "key", "key2", "k1", "k2", "starts", "off", "n", "left", "right", "w1", "w2"]
-    longs = pa.list_(pa.int64())
-    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary(), pa.binary(), longs, longs]
+    """Suffixes with their contexts; where the prefix is hot, also a digest of their words."""
+    names = ["hot", "key", "d1", "d2", "k1", "k2", "starts", "off", "n", "left", "right"]
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in names]
             for k1, k2, text, found in zip(b["k1"].to_pylist(), b["k2"].to_pylist(), b["text"], b["found"], strict=True):
-                ws, seen, hashed = split(text.as_py()), {}, None
+                ws, seen = split(text.as_py()), {}
                 for a in found.as_py():
                     lo, hi, p = a["lo"], a["hi"], a["p"]
-                    if a["hot"]:
-                        if hashed is None:
-                            h = word_hashes(ws)
-                            hashed = grams(h, w).view(np.int64).tolist(), grams(_mix(h ^ MULT), w, np.uint64(0xD6E8FEB86659FD93)).view(np.int64).tolist()
-                        d = hashlib.blake2b(b" ".join(ws[lo : hi + w]), digest_size=16).digest()
-                        x = int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
-                        if x in seen:
-                            seen[x].append(lo)
-                            continue
-                        seen[x] = starts = [lo]
-                        for col, v in zip(out, (True, *x, k1, k2, starts, p - lo, hi - lo, None, None, hashed[0][lo : hi + 1], hashed[1][lo : hi + 1]), strict=True):
-                            col.append(v)
-                        continue
                     left, right = b" ".join(ws[lo:p]), b" ".join(ws[p : hi + w])
                     x = (left, right, p - lo, hi - lo)
                     if x in seen:
                         seen[x].append(lo)
                         continue
                     seen[x] = starts = [lo]
-                    for col, v in zip(out, (False, a["key"], None, k1, k2, starts, p - lo, hi - lo, left, right, None, None), strict=True):
+                    for col, v in zip(out, (a["hot"], a["key"], *(_digest(left, right) if a["hot"] else (None, None)), k1, k2, starts, p - lo, hi - lo, left, right), strict=True):
                         col.append(v)
                 if len(out[0]) >= 4096:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "hot boolean, key long, key2 long, k1 long, k2 long, starts array<int>, off int, n int, left binary, right binary, w1 array<long>, w2 array<long>")
+    return docs.mapInArrow(run, "hot boolean, key long, d1 long, d2 long, k1 long, k2 long, starts array<int>, off int, n int, left binary, right binary")
+
+
+def _digest(*parts: bytes) -> tuple[int, int]:
+    d = hashlib.blake2b(b"\n".join(parts), digest_size=16).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
 def _levels(rows: list[list[int]], depth: int, need: np.ndarray) -> np.ndarray:
@@ -232,18 +227,93 @@ def _trees(entries: DataFrame, w: int, size: int) -> DataFrame:
     return entries.select(*cols).repartition("key").sortWithinPartitions("key").mapInArrow(run, "k1 long, k2 long, a long, b long")
 
 
-def _drawn(entries: DataFrame) -> DataFrame:
-    """k1, k2, runs, of suffixes whose prefixes are drawn out to whole windows. Suffixes with the same words are one block, and all but the
-    block's first document lose all its windows. For the first one, the block's windows are compared with those of other blocks by a combined
-    minimum; only windows of which another block is earlier are joined back."""
-    blocks = cut(entries.groupBy("key", "key2").agg(F.min("k1").alias("least"), F.first("w1").alias("w1"), F.first("w2").alias("w2")))
-    each = blocks.select("key", "key2", "least", F.posexplode(F.arrays_zip("w1", "w2")).alias("j", "x")).select("key", "key2", "least", "j", "x.w1", "x.w2")
-    best = cut(each.groupBy("w1", "w2").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last").select("w1", "w2", "first"))
-    earlier = each.join(best, ["w1", "w2"]).where("first < least").groupBy("key", "key2").agg(F.collect_list("j").alias("js"))
-    of_block = cut(blocks.select("key", "key2", "least").join(earlier, ["key", "key2"], "left"))
-    joined = entries.select("key", "key2", "k1", "k2", "starts", "n").join(of_block, ["key", "key2"])
-    single = F.transform(F.coalesce("js", F.array().cast("array<int>")), lambda j: F.struct(j.alias("lo"), j.alias("hi")))
-    js = F.when(F.col("least") < F.col("k1"), F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))).otherwise(single)
+BLOCK = "d1 long, d2 long, least long, key long, key2 long, shift int, off int, n int, left binary, right binary"
+
+
+def _block_trees(blocks: DataFrame, w: int, size: int) -> DataFrame:
+    """d1, d2, lo, hi: runs of a block's windows that a block of an earlier document has too. Like _trees()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(group: list[tuple]) -> pa.RecordBatch:
+            # a suffix stands for its place in the group
+            rows = [(*group[i][:2], lo, hi) for _, i, lo, hi in repeats([(g[2], i, [g[3]], *g[4:]) for i, g in enumerate(group)], w)] if len(group) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(4)], ["d1", "d2", "lo", "hi"])
+
+        group: list[tuple] = []
+        last = None
+        for b in batches:
+            for key, *row in zip(*(b[c].to_pylist() for c in ("key", "d1", "d2", "least", "shift", "off", "n", "left", "right")), strict=True):
+                if key != last and len(group) >= size:
+                    yield found(group)
+                    group = []
+                group.append(tuple(row))
+                last = key
+        yield found(group)
+
+    return blocks.repartition("key").sortWithinPartitions("key").mapInArrow(run, "d1 long, d2 long, lo long, hi long")
+
+
+def drawn(off: int, n: int, left: list[bytes], right: list[bytes], w: int, k: int, ranges: int) -> Iterator[tuple[int, int, int, list[bytes], list[bytes], bytes]]:
+    """A suffix's windows dealt by how many words they have left of the anchor: first window, words to the left, number of further windows, left and
+    right words, and the words around the anchor that all windows of the range share; in ranges of the same width for every suffix."""
+    span = w - k + 1
+    for c in range(ranges):
+        least, most = c * span // ranges, (c + 1) * span // ranges - 1
+        first, last = max(0, off - most), min(n, off - least)
+        if least <= most and first <= last:
+            own, to = off - first, w - (off - last)
+            around = b" ".join([b"%d" % least, *left[len(left) - least :], b"", *right[: w - most]])
+            yield first, own, last - first, left[len(left) - own :], right[:to], around
+
+
+def _drawn_out(blocks: DataFrame, w: int, k: int, ranges: int) -> DataFrame:
+    """Blocks with longer prefixes: each in as many parts as ranges have windows of it."""
+    names = [c.split()[0] for c in BLOCK.split(", ")]
+    kinds = [*[pa.int64()] * 5, *[pa.int32()] * 3, pa.binary(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in names]
+            for d1, d2, least, shift, off, n, left, right in zip(*(b[c].to_pylist() for c in ("d1", "d2", "least", "shift", "off", "n", "left", "right")), strict=True):
+                for first, own, more, x, y, around in drawn(off, n, left.split(), right.split(), w, k, ranges):
+                    for col, v in zip(out, (d1, d2, least, *_digest(around), shift + first, own, more, b" ".join(x), b" ".join(y)), strict=True):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
+
+    return blocks.mapInArrow(run, BLOCK)
+
+
+def _block_repeats(blocks: DataFrame, w: int, k: int, size: int) -> DataFrame:
+    """d1, d2, lo, hi, as _block_trees(), of blocks whose prefixes grow until their groups fit. A window of its own is a leaf: its group needs no more
+    than a combined minimum."""
+    found, now = [], blocks
+    for ranges in (*RANGES, w - k + 1):
+        groups = cut(now.groupBy("key").agg(F.count("*").alias("m"), F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select("key", "m"))
+        found.append(_block_trees(join_stats(now, groups.where(F.col("m") <= size), ["key"], "m", "inner"), w, size))
+        large = groups.where(F.col("m") > size)
+        if large.isEmpty():
+            break
+        now = cut_parquet(_drawn_out(join_stats(now, large, ["key"], "m", "inner"), w, k, ranges))
+    else:
+        first = now.groupBy("key", "key2").agg(F.min("least").alias("first"), F.count("*").alias("m")).where("m > 1")
+        earlier = join_stats(now, cut(first), ["key", "key2"], "m", "inner").where("first < least")
+        found.append(earlier.select("d1", "d2", F.col("shift").cast("long").alias("lo"), F.col("shift").cast("long").alias("hi")))
+    union = found[0]
+    for x in found[1:]:
+        union = union.unionByName(x)
+    return union
+
+
+def _hot(entries: DataFrame, w: int, k: int, size: int) -> DataFrame:
+    """k1, k2, runs, of suffixes under hot prefixes. Suffixes with the same words are one block, and all but the block's first document lose all its
+    windows; what the first one loses is found among blocks."""
+    blocks = entries.groupBy("d1", "d2").agg(F.min("k1").alias("least"), *[F.first(c).alias(c) for c in ("key", "off", "n", "left", "right")])
+    blocks = cut_parquet(blocks.withColumns({"key2": F.lit(0).cast("long"), "shift": F.lit(0)}).select(*[c.split()[0] for c in BLOCK.split(", ")]))
+    earlier = _block_repeats(blocks, w, k, size).groupBy("d1", "d2").agg(F.collect_list(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("js"))
+    of_block = cut(blocks.select("d1", "d2", "least").join(earlier, ["d1", "d2"], "left"))
+    joined = entries.select("d1", "d2", "k1", "k2", "starts", "n").join(of_block, ["d1", "d2"])
+    none = F.array().cast("array<struct<lo:int,hi:int>>")
+    js = F.when(F.col("least") < F.col("k1"), F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))).otherwise(F.coalesce("js", none))
     pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j["lo"]).cast("long").alias("a"), (s + j["hi"]).cast("long").alias("b")))))
     return joined.select("k1", "k2", pairs.alias("runs")).where(F.size("runs") > 0)
 
@@ -263,7 +333,7 @@ def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, gro
     found = each.join(shared, "key").groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "p", "lo", "hi", "hot")).alias("found"))
     entries = cut_parquet(_entries(keyed.join(found, ["k1", "k2"]).select("k1", "k2", "text", "found"), w))
     cold = _trees(entries.where("not hot"), w, group).select("k1", "k2", F.array(F.struct("a", "b")).alias("runs"))
-    runs = cold.unionByName(_drawn(entries.where("hot"))).groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    runs = cold.unionByName(_hot(entries.where("hot"), w, k, group)).groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     return cut(runs.withColumn("copied", F.lit(False)).unionByName(copied.select("k1", "k2", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("runs"), F.lit(True).alias("copied"))))
 
 

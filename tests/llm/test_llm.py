@@ -86,8 +86,8 @@ def brute_windows(rows, w):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot", [512, 2])
-def test_substring(spark, docs, hot):
+@pytest.mark.parametrize(("hot", "group"), [(512, 16_384), (2, 16_384), (2, 3), (0, 1)])  # groups that fit at once, and ones that don't
+def test_substring(spark, docs, hot, group):
     rng = random.Random(hot)
     rows = []
     for i in range(60):
@@ -99,7 +99,7 @@ def test_substring(spark, docs, hot):
         rows.append((i, " ".join(ws)))
     rows += [(r[0], r[1]) for r in ROWS]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.text) for r in substr.dedup(df, hot=hot).collect()), key=repr)
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.text) for r in substr.dedup(df, hot=hot, group=group).collect()), key=repr)
     assert got == brute_windows(rows, 50)
 
 
@@ -541,3 +541,21 @@ def test_long_texts(spark, labels, benchmark):
     assert secrets.digest(d).count() == bpe.digest(d, queries.tokenizer_path()).count() == toxicity.digest(d, labels).count() == quality.digest(d, labels).count() == 2
     page = spark.createDataFrame([(1, "u", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")
     assert html.main_text(page).first().text == text and warc.round_trip(page).first().payload_bytes == len(text) + 26
+
+
+def test_drawn():
+    rng = random.Random(12)
+    for _ in range(200):
+        ws = [b"%d" % rng.randrange(9) for _ in range(120)]
+        off = rng.randrange(43)
+        n = rng.randrange(off + 1)
+        lo, p = 10, 10 + off
+        left, right = ws[lo:p], ws[p : lo + n + 50]
+        for ranges in (1, 4, 16, 43):
+            seen = {}
+            for first, own, more, x, y, around in substr.drawn(off, n, left, right, 50, 8, ranges):
+                assert x == ws[lo + first : p] and len(x) == own and y == ws[p : lo + first + more + 50]
+                for j in range(first, first + more + 1):
+                    seen[j] = around
+                    assert (b" " + b" ".join(ws[lo + j : lo + j + 50]) + b" ").find(b" ".join(around.split()[1:])) >= 0
+            assert sorted(seen) == list(range(n + 1))
