@@ -87,6 +87,12 @@ def dense_series(categories: Column, series: Column) -> Column:
     return F.forall(series, lambda s: (F.size(s) == F.size(categories)) & ~F.exists(s, F.isnull))
 
 
+def dense_groups(points: DataFrame, chart: str, value: str, length: int) -> DataFrame:
+    """chart, dense: like dense_series() of one series a chart, whose points are rows; counts are enough, so no point is gathered."""
+    n = points.groupBy(chart).agg(F.count("*").alias("n"), F.count(value).alias("whole"))
+    return n.select(chart, ((F.col("n") == length) & (F.col("whole") == length)).alias("dense"))
+
+
 def flag_names(flags: Column, finding: Column | None = None) -> Column:
     """Names before the first colon, each once in order, then the finding; joined by semicolons, null if there is none."""
     names = F.transform(F.coalesce(flags, F.array().cast("array<string>")), lambda x: F.btrim(F.get(F.split(x, ":"), F.lit(0))))

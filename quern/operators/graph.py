@@ -119,3 +119,39 @@ def successors_by_order(df: DataFrame, key: str, order: str, id_col: str) -> Dat
     """doc_id, successor: the next row of the same key."""
     w = Window.partitionBy(key).orderBy(order, id_col)
     return df.select(F.col(id_col).alias("doc_id"), F.lead(id_col).over(w).alias("successor")).where("successor is not null")
+
+
+def build(records: DataFrame, jurisdictions: DataFrame, cites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes (id, ntype, label, level) and edges (src, dst, etype, layer, rule, identifier) of records (id, title, issuer, patterns, topics, geo_scope,
+    entity_id, relations), blocs (bloc, label, iso2) and citations (source_id, target_id, identifier, rule). A bloc is a node only if a record
+    applies to one of its members; of several labels of a node the least is kept. What is curated is in layer L0, citations are in L1."""
+    doc = node_id("doc", F.col("id"))
+    national = records.where("geo_scope = 'national'").select(doc.alias("src"), F.lower("entity_id").alias("iso2"))
+    seen = national.select("iso2").distinct()
+    members = jurisdictions.select("bloc", "label", F.lower("iso2").alias("iso2")).join(seen, "iso2", "left_semi")
+    named = lambda kind, column: records.select(doc.alias("src"), F.explode(F.array_distinct(column)).alias("x")).select("src", node_id(kind, F.col("x")).alias("dst"), F.col("x").alias("label"))
+    issued = records.select(doc.alias("src"), node_id("issuer", F.col("issuer")).alias("dst"), F.col("issuer").alias("label"))
+    patterns, topics = named("pattern", "patterns"), named("topic", "topics")
+    node = lambda df, i, kind, label, level=None: df.select(i.alias("id"), F.lit(kind).alias("ntype"), label.alias("label"), F.lit(level).cast("string").alias("level"))
+    nodes = [
+        node(records, doc, "document", F.col("title")), node(issued, F.col("dst"), "issuer", F.col("label")), node(patterns, F.col("dst"), "pattern", F.col("label")),
+        node(topics, F.col("dst"), "topic", F.col("label")), node(seen, node_id("country", F.col("iso2")), "jurisdiction", F.upper("iso2"), "country"), node(members, node_id("bloc", F.col("bloc")), "jurisdiction", F.col("label"), "bloc"),
+    ]
+    null = F.lit(None).cast("string")
+    edge = lambda df, src, dst, etype, layer="L0", rule=null, identifier=null: df.select(src.alias("src"), dst.alias("dst"), etype.alias("etype"), F.lit(layer).alias("layer"), rule.alias("rule"), identifier.alias("identifier"))
+    related = records.select(doc.alias("src"), F.explode("relations").alias("r"))
+    c = F.col
+    edges = [
+        edge(issued, c("src"), c("dst"), F.lit("published_by")), edge(patterns, c("src"), c("dst"), F.lit("exemplifies")), edge(topics, c("src"), c("dst"), F.lit("about")),
+        edge(national, c("src"), node_id("country", c("iso2")), F.lit("applies_to")), edge(members, node_id("country", c("iso2")), node_id("bloc", c("bloc")), F.lit("member_of")),
+        edge(related, c("src"), node_id("doc", c("r.target")), c("r.type")), edge(cites, node_id("doc", c("source_id")), node_id("doc", c("target_id")), F.lit("cites"), "L1", c("rule"), c("identifier")),
+    ]
+    union = lambda parts: parts[0] if len(parts) == 1 else union(parts[:-1]).unionByName(parts[-1])
+    return union(nodes).groupBy("id").agg(F.min(F.struct("ntype", "label", "level")).alias("n")).select("id", "n.ntype", "n.label", "n.level"), union(edges)
+
+
+def validity_warnings(docs: DataFrame, successors: DataFrame) -> DataFrame:
+    """doc_id, warning: several successors, and intervals that end before they begin."""
+    heirs = successors.distinct().groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit("several successors").alias("warning"))
+    odd = validity(docs, successors).where("valid_to < valid_from").select("doc_id", F.lit("ends before it begins").alias("warning"))
+    return heirs.unionByName(odd)

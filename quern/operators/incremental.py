@@ -39,3 +39,27 @@ def due(state: DataFrame, checked: str, id_col: str, limit: int) -> DataFrame:
 
 def backing_off(failed_at: Column, now: Column, days: int = 7) -> Column:
     return F.coalesce(F.datediff(now, failed_at) < days, F.lit(False))
+
+
+def must_hash(size: Column, mtime: Column, known_size: Column, known_mtime: Column) -> Column:
+    """Whether a file has to be read to know if it changed: unless its size and time are those of the last look."""
+    return ~(size.eqNullSafe(known_size) & mtime.eqNullSafe(known_mtime))
+
+
+def file_hash(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
+def store_by_batches(stream: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """Drains a stream of rows (vectors, say) into folder, a batch at a time. A batch that is run again replaces its own files, and of a key that
+    came twice the last batch's row counts."""
+    from ..streaming.events import run_once
+
+    w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
+    return run_once(stream, folder, "append").withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k", "part", "batch")
+
+
+def fallback_counts(states: DataFrame, fmt: str = "format") -> DataFrame:
+    """scans, by_local_ocr: how many PDFs are scans, and how many of those no cloud model has read."""
+    scan = (F.col(fmt) == "pdf") & F.coalesce(F.col("is_scan"), F.lit(False))
+    return states.agg(F.count_if(scan).alias("scans"), F.count_if(scan & F.col("ocr_model").isNull()).alias("by_local_ocr"))

@@ -174,3 +174,8 @@ def regions(elements: DataFrame, key: Sequence[str]) -> DataFrame:
         return pd.DataFrame([[*part[key].iloc[0], *recognise(part)]], columns=[*key, "shape", "n_rows", "n_cols"])
 
     return elements.select(*key, "kind", "x0", "top", "x1", "bottom").groupBy(*key).applyInPandas(run, f"{kinds}, shape string, n_rows int, n_cols int")
+
+
+def decor(images: DataFrame, doc: str, digest: str, least: int = 3) -> DataFrame:
+    """doc, digest, n of images that a document shows so often that they are decoration."""
+    return images.groupBy(doc, digest).agg(F.count("*").alias("n")).where(F.col("n") >= least)

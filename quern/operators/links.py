@@ -24,3 +24,16 @@ def html_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 def printed_urls(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """id, url, context: URLs in the text of lines."""
     return lines.select(id_col, F.explode(F.regexp_extract_all("line", F.lit(PRINTED), F.lit(0))).alias("url"), F.col("line").alias("context"))
+
+
+def annotation_links(annotations: DataFrame, words: DataFrame, page: list[str], url: str = "uri") -> DataFrame:
+    """page, url, anchor: the link annotations of a page by URL, and the words in their boxes in reading order. A page bounds both."""
+    from .gates import sanitize_url
+    from .layout import centre_in
+
+    c = F.col
+    own = annotations.withColumn("url", sanitize_url(c(url))).where("url is not null").select(*page, "url", *[c(x).alias(f"_{x}") for x in ("x0", "top", "x1", "bottom")])
+    inside = centre_in(c("x0"), c("top"), c("x1"), c("bottom"), {x: c(f"_{x}") for x in ("x0", "top", "x1", "bottom")})
+    told = own.join(words, page).where(inside).groupBy(*page, "url").agg(F.sort_array(F.collect_set(F.struct("_top", "_x0", "top", "x0", "text"))).alias("w"))
+    anchor = F.coalesce(F.array_join(F.transform("w", lambda x: x["text"]), " "), F.lit(""))
+    return own.select(*page, "url").distinct().join(told, [*page, "url"], "left").select(*page, "url", anchor.alias("anchor"))

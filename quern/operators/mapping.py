@@ -236,3 +236,16 @@ def cell_name(column: Column, row: Column) -> Column:
     """The name of a cell from its column and row, both from 0, for up to 702 columns."""
     letter = lambda k: F.chr(F.lit(65) + k)
     return F.concat(F.when(column >= 26, letter(F.floor(column / 26) - 1)).otherwise(""), letter(column % 26), (row + 1).cast("string"))
+
+
+def act_query(concepts: Sequence[str], language: str, label: str, limit: int) -> str:
+    """The SPARQL query for acts about any of the concepts, newest first; an error without concepts."""
+    if not concepts:
+        raise ValueError("no concepts to look for")
+    lines = [
+        "PREFIX cdm: <http://publications.europa.eu/ontology/cdm#>", "PREFIX skos: <http://www.w3.org/2004/02/skos/core#>", "SELECT ?celex ?date ?title ?author ?concept WHERE {",
+        f"  VALUES ?concept {{ {' '.join(f'<{c}>' for c in concepts)} }}", "  ?work cdm:work_is_about_concept_eurovoc ?concept ; cdm:resource_legal_id_celex ?celex .", "  OPTIONAL { ?work cdm:work_date_document ?date . }",
+        f"  OPTIONAL {{ ?text cdm:expression_belongs_to_work ?work ; cdm:expression_uses_language <{language}> ; cdm:expression_title ?title . }}",
+        f'  OPTIONAL {{ ?work cdm:work_created_by_agent ?agent . ?agent skos:prefLabel ?author . FILTER(LANG(?author) = "{label}") }}', f"}} ORDER BY DESC(?date) LIMIT {limit}",
+    ]
+    return "\n".join(lines)

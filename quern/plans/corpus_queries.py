@@ -55,7 +55,7 @@ def group_first_nonnull(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT n_name, CASE WHEN r_name = 'ASIA' THEN 'probe' ELSE 'all' END AS slice, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY r_name = 'ASIA' ORDER BY c_acctbal DESC, c_custkey) AS k FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) WHERE r_name <> 'ASIA' OR k <= 25")
 def hybrid_slices_topn(spark: SparkSession, sf: str) -> DataFrame:
-    c = load(spark, sf, "customer").join(F.broadcast(load(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(load(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    c = load(spark, sf, "customer").join(load(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(load(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return discovery.slices(c, F.col("r_name") == "ASIA", "c_acctbal", ["c_custkey"], 25).select("n_name", "slice", "c_custkey")
 
 
@@ -168,7 +168,7 @@ def graph_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'")
 def docs_in_bloc(spark: SparkSession, sf: str) -> DataFrame:
     n = load(spark, sf, "nation").join(load(spark, sf, "region").where("r_name = 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return load(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey")
+    return load(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey")
 
 
 @query("SELECT DISTINCT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 7")
@@ -179,7 +179,7 @@ def docs_by_pattern(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey = (SELECT min(l_orderkey) FROM lineitem)")
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    return li.join(F.broadcast(li.agg(F.min("l_orderkey").alias("l_orderkey"))), "l_orderkey").select("l_partkey").distinct()
+    return li.join(li.agg(F.min("l_orderkey").alias("l_orderkey")), "l_orderkey").select("l_partkey").distinct()
 
 
 _LP = "e AS (SELECT DISTINCT 's' || l_suppkey AS a, 'p' || l_partkey AS b FROM lineitem), u AS (SELECT a AS src, b AS dst FROM e UNION SELECT b, a FROM e)"

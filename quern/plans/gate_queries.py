@@ -65,10 +65,8 @@ def deferral(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT user_id, len(xs) = 3 AND len(list_filter(xs, lambda x: x IS NULL)) = 0 AS dense FROM (SELECT user_id, list(CASE WHEN value > 1 THEN value END) AS xs FROM events GROUP BY user_id)")
 def charts_eligible(spark: SparkSession, sf: str) -> DataFrame:
-    # collect_list leaves nulls out, so each value is boxed first
-    boxed = F.transform(F.collect_list(F.struct(F.when(F.col("value") > 1, F.col("value")).alias("v"))), lambda x: x["v"])
-    rows = load(spark, sf, "events").groupBy("user_id").agg(boxed.alias("xs"))
-    return rows.select("user_id", G.dense_series(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.array("xs")).alias("dense"))
+    points = load(spark, sf, "events").select("user_id", F.when(F.col("value") > 1, F.col("value")).alias("v"))
+    return G.dense_groups(points, "user_id", "v", 3)
 
 
 @query("SELECT o_orderkey, o_orderstatus || CASE WHEN o_orderpriority <> o_orderstatus THEN ';' || o_orderpriority ELSE '' END || CASE WHEN o_totalprice > 100000 THEN ';large' ELSE '' END AS flags FROM orders")

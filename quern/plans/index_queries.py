@@ -110,3 +110,42 @@ def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     d = load(spark, sf, "documents").select(F.sha2("text", 256).alias("content_hash"), "text")
     return index.embedded(d, index.HashEmbedder(32))
+
+
+_RE = """SELECT c_custkey AS id, 'Title ' || c_custkey AS title, 'Issuer ' || (c_custkey % 17) AS issuer, CASE WHEN c_custkey % 2 = 0 THEN 'national' ELSE 'intl' END AS geo_scope, 'C' || c_nationkey AS entity_id, c_mktsegment AS pattern, 't' || (c_custkey % 5) AS t1, 't' || (c_custkey % 3) AS t2,
+ CASE WHEN c_custkey % 4 = 0 THEN c_custkey - 1 END AS supersedes FROM customer"""
+_BL = "SELECT r_name AS bloc, 'The ' || r_name AS label, 'C' || n_nationkey AS iso2 FROM nation JOIN region ON n_regionkey = r_regionkey"
+_CI = "SELECT DISTINCT o_custkey AS source_id, o_custkey % 50 AS target_id, 'ISO ' || (o_custkey % 9) AS identifier, 'iso' AS rule FROM orders WHERE o_custkey % 50 > 0"
+
+
+def _graph_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    for t in ("customer", "nation", "region", "orders"):
+        load(spark, sf, t).createOrReplaceTempView(f"quern_{t}")
+    sql = lambda q: spark.sql(q.replace("FROM ", "FROM quern_").replace("JOIN ", "JOIN quern_"))
+    relations = F.array_compact(F.array(F.when(F.col("supersedes").isNotNull(), F.struct(F.lit("supersedes").alias("type"), F.col("supersedes").alias("target")))))
+    records = sql(_RE).select("id", "title", "issuer", "geo_scope", "entity_id", F.array("pattern").alias("patterns"), F.array("t1", "t2").alias("topics"), relations.alias("relations"))
+    return records, sql(_BL), sql(_CI)
+
+
+@query(f"""WITH r AS ({_RE}), s AS (SELECT DISTINCT lower(entity_id) AS iso2 FROM r WHERE geo_scope = 'national'), b AS (SELECT * FROM ({_BL}) WHERE lower(iso2) IN (FROM s))
+SELECT 'doc:' || id AS id, 'document' AS ntype, title AS label, NULL AS level FROM r UNION ALL SELECT DISTINCT 'issuer:' || issuer, 'issuer', issuer, NULL FROM r UNION ALL SELECT DISTINCT 'pattern:' || pattern, 'pattern', pattern, NULL FROM r
+UNION ALL SELECT DISTINCT 'topic:' || t, 'topic', t, NULL FROM (SELECT t1 AS t FROM r UNION SELECT t2 FROM r) UNION ALL SELECT 'country:' || iso2, 'jurisdiction', upper(iso2), 'country' FROM s UNION ALL SELECT DISTINCT 'bloc:' || bloc, 'jurisdiction', label, 'bloc' FROM b""")
+def corpus_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.build(*_graph_inputs(spark, sf))[0]
+
+
+@query(f"""WITH r AS ({_RE}), s AS (SELECT DISTINCT lower(entity_id) AS iso2 FROM r WHERE geo_scope = 'national'), b AS (SELECT * FROM ({_BL}) WHERE lower(iso2) IN (FROM s))
+SELECT *, 'L0' AS layer, NULL AS rule, NULL AS identifier FROM (SELECT 'doc:' || id AS src, 'issuer:' || issuer AS dst, 'published_by' AS etype FROM r UNION ALL SELECT 'doc:' || id, 'pattern:' || pattern, 'exemplifies' FROM r
+UNION ALL (SELECT 'doc:' || id, 'topic:' || t1, 'about' FROM r UNION SELECT 'doc:' || id, 'topic:' || t2, 'about' FROM r) UNION ALL SELECT 'doc:' || id, 'country:' || lower(entity_id), 'applies_to' FROM r WHERE geo_scope = 'national'
+UNION ALL SELECT 'country:' || lower(iso2), 'bloc:' || bloc, 'member_of' FROM b UNION ALL SELECT 'doc:' || id, 'doc:' || supersedes, 'supersedes' FROM r WHERE supersedes IS NOT NULL)
+UNION ALL SELECT 'doc:' || source_id, 'doc:' || target_id, 'cites', 'L1', rule, identifier FROM ({_CI})""")
+def corpus_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.build(*_graph_inputs(spark, sf))[1]
+
+
+@query("WITH v AS (SELECT o_orderkey, o_orderdate, o_orderkey + 1 AS a, o_orderkey + 2 AS b FROM orders WHERE o_orderkey % 3 = 0), e AS (SELECT o_orderkey, a AS s FROM v UNION SELECT o_orderkey, b FROM v WHERE o_orderkey % 2 = 0), j AS (SELECT e.o_orderkey, count(*) AS n, min(o.o_orderdate) AS t FROM e LEFT JOIN orders o ON e.s = o.o_orderkey GROUP BY 1) SELECT o_orderkey AS doc_id, 'several successors' AS warning FROM j WHERE n > 1 UNION ALL SELECT o_orderkey, 'ends before it begins' FROM j JOIN orders USING (o_orderkey) WHERE t < o_orderdate")
+def validity_warnings(spark: SparkSession, sf: str) -> DataFrame:
+    o = load(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    heirs = o.where(k % 3 == 0).select(k.alias("doc_id"), F.explode(F.when(k % 2 == 0, F.array(k + 1, k + 2)).otherwise(F.array(k + 1))).alias("successor"))
+    return graph.validity_warnings(o.select(k.alias("doc_id"), F.col("o_orderdate").alias("valid_from")), heirs)

@@ -191,3 +191,28 @@ def test_stream_confirms(spark, tmp_path):
     got = {r.user_id: (r.confirms, r.last_value) for r in q.collect()}
     e = spark.read.parquet(f"{SF}/events.parquet").withColumn("o", F.struct("ts", "event_id"))
     assert got == {r.user_id: (r.confirms, r.last_value) for r in inc.validator_fold(e, "user_id", "o", "event_type").collect()}
+
+
+def test_more(spark, tmp_path):
+    from quern.operators import links, mapping
+
+    boxes = spark.createDataFrame([(1, "https://a.gov/x.", 0.0, 0.0, 50.0, 10.0), (1, "https://a.gov/x", 0.0, 20.0, 50.0, 30.0), (1, "nope", 0.0, 0.0, 9.0, 9.0)], "page int, uri string, x0 double, top double, x1 double, bottom double")
+    words = spark.createDataFrame([(1, "wide", 0.0, 21.0, 20.0, 29.0), (1, "web", 30.0, 1.0, 45.0, 9.0), (1, "World", 0.0, 1.0, 20.0, 9.0), (1, "out", 60.0, 1.0, 80.0, 9.0)], "page int, text string, x0 double, top double, x1 double, bottom double")
+    assert [tuple(r) for r in links.annotation_links(boxes, words, ["page"]).collect()] == [(1, "https://a.gov/x", "World web wide")]
+    assert layout.decor(words.select(F.lit(1).alias("d"), F.lit("h").alias("h")), "d", "h").first().n == 4
+    with pytest.raises(ValueError, match="no concepts"):
+        mapping.act_query([], "l", "en", 1)
+    assert "<http://c/1> <http://c/2>" in mapping.act_query(["http://c/1", "http://c/2"], "http://l", "en", 5)
+    look = spark.createDataFrame([(1, 2, 1, 2), (1, 2, 1, 3), (1, 2, None, None)], "a long, b long, c long, d long")
+    assert [r.m for r in look.select(incremental.must_hash(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("m")).collect()] == [False, True, True]
+    states = spark.createDataFrame([("pdf", True, None), ("pdf", True, "m"), ("pdf", None, None), ("html", True, None)], "format string, is_scan boolean, ocr_model string")
+    assert tuple(incremental.fallback_counts(states).first()) == (2, 1)
+    src = tmp_path / "in"
+    rows = lambda v: spark.createDataFrame([("h1", v), (f"h{v}", v)], "content_hash string, vec int").coalesce(1).write.mode("append").parquet(f"file://{src}")
+    read = lambda: spark.readStream.schema("content_hash string, vec int").parquet(f"file://{src}")
+    rows(2)
+    incremental.store_by_batches(read(), ["content_hash"], f"file://{tmp_path}/out").collect()
+    rows(3)
+    got = incremental.store_by_batches(read(), ["content_hash"], f"file://{tmp_path}/out")
+    assert {tuple(r) for r in got.collect()} == {("h1", 3), ("h2", 2), ("h3", 3)}
+    assert spark.createDataFrame([(b"abc",)], "c binary").select(incremental.file_hash(F.col("c")).alias("h")).first().h.startswith("ba7816bf")
