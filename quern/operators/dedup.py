@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import cut
+
 
 def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
     """The earliest row of each key; rows without a key stay. A grouped minimum and a join, so a key may hold any share of the rows."""
@@ -19,24 +20,28 @@ def rank_duplicates(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("dup_rank", F.row_number().over(Window.partitionBy(key).orderBy(order)))
 
 
-def multi_strategy(df: DataFrame, keys: Sequence[str], order: str, components: DataFrame) -> DataFrame:
-    """id -> kept row, by the sequential rule: a row is absorbed by the earliest kept row that shares its first matching key, and an absorbed
-    row absorbs nothing. components (order, component) bounds what the rule must see together."""
-
-    def rule(part: pd.DataFrame) -> pd.DataFrame:
-        pool: dict[tuple, int] = {}
-        out = []
-        for row in part.sort_values(order).itertuples(index=False):
-            own = [(k, getattr(row, k)) for k in keys if not pd.isna(getattr(row, k))]
-            found = next((pool[x] for x in own if x in pool), None)
-            if found is None:
-                for x in own:
-                    pool.setdefault(x, getattr(row, order))
-            out.append((getattr(row, order), getattr(row, order) if found is None else found))
-        return pd.DataFrame(out, columns=["ordinal", "kept_ordinal"])
-
-    rows = df.select(F.col(order), *keys).join(components, order)
-    return rows.groupBy("component").applyInPandas(rule, "ordinal long, kept_ordinal long")
+def multi_strategy(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """ordinal, kept_ordinal by the sequential rule: a row is absorbed by the earliest kept row that shares its first matching key, and an
+    absorbed row absorbs nothing; order tells rows apart. In rounds: a row that is the first undecided one under all its keys is kept,
+    and those after it under any of them are absorbed. Only minima are gathered by key, so a key may hold any share of the rows."""
+    present = F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("rank"), F.col(k).cast("string").alias("value"))) for i, k in enumerate(keys)]))
+    each = cut(df.select(F.col(order).alias("ordinal"), F.explode(present).alias("k")))
+    left, owned = each, []
+    while not left.isEmpty():
+        least = left.groupBy("k").agg(F.min("ordinal").alias("first"))
+        kept = left.join(least, "k").groupBy("ordinal").agg(F.min(F.col("first") == F.col("ordinal")).alias("all")).where("all").select("ordinal")
+        owners = cut(left.join(kept, "ordinal", "left_semi").select("k", F.col("ordinal").alias("owner")))
+        owned.append(owners)
+        decided = left.join(owners.select("k"), "k", "left_semi").select("ordinal").distinct()
+        left = cut(left.join(decided, "ordinal", "left_anti"))
+    rows = df.select(F.col(order).cast("long").alias("ordinal"))
+    if not owned:
+        return rows.withColumn("kept_ordinal", F.col("ordinal"))
+    union = owned[0]
+    for x in owned[1:]:
+        union = union.unionByName(x)
+    absorbed = each.join(union, "k").where("owner < ordinal").groupBy("ordinal").agg(F.min(F.struct("k.rank", "owner"))["owner"].alias("owner"))
+    return rows.join(absorbed, "ordinal", "left").select("ordinal", F.coalesce("owner", "ordinal").cast("long").alias("kept_ordinal"))
 
 
 def ambiguous_owner(df: DataFrame, key: str, owner: str) -> DataFrame:

@@ -24,9 +24,7 @@ def dedup_first_seen(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def dedup_multi_strategy(spark: SparkSession, sf: str) -> DataFrame:
     d = load(spark, sf, "documents").select(F.col("doc_id").alias("ordinal"), F.sha2("text", 256).alias("h"), F.sha2(T.normalized_title(F.get(F.split("text", "\n"), F.lit(0))), 256).alias("t"))
-    least = d.groupBy("t").agg(F.min("ordinal").alias("component"))
-    comp = d.join(least, "t").select("ordinal", "component")
-    return dedup.multi_strategy(d, ["h", "t"], "ordinal", comp)
+    return dedup.multi_strategy(d, ["h", "t"], "ordinal")
 
 
 _HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"

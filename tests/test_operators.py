@@ -159,9 +159,18 @@ def test_index(spark):
 def test_first_seen_rules(spark):
     rows = [(1, "u1", "t1"), (2, "u1", "t2"), (3, None, "t2"), (4, "u2", "t1"), (5, None, None)]
     d = spark.createDataFrame(rows, "ordinal long, url string, title string")
-    comp = d.select("ordinal", F.lit(0).alias("component"))
-    got = {r.ordinal: r.kept_ordinal for r in dedup.multi_strategy(d, ["url", "title"], "ordinal", comp).collect()}
+    got = {r.ordinal: r.kept_ordinal for r in dedup.multi_strategy(d, ["url", "title"], "ordinal").collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5}
+    rng = random.Random(2)
+    rows = [(i, *(rng.choice([None, *"abcdefghij"[: 3 + i % 8]]) for _ in range(3))) for i in range(60)]
+    pool, want = {}, {}
+    for i, *own in rows:
+        found = next((pool[k, v] for k, v in enumerate(own) if v is not None and (k, v) in pool), None)
+        want[i] = i if found is None else found
+        if found is None:
+            pool |= {(k, v): i for k, v in enumerate(own) if v is not None}
+    d = spark.createDataFrame(rows, "ordinal long, x string, y string, z string")
+    assert {r.ordinal: r.kept_ordinal for r in dedup.multi_strategy(d, ["x", "y", "z"], "ordinal").collect()} == want
     first = dedup.group_first(spark.createDataFrame([(1, 2, None, "b"), (1, 1, None, "a"), (1, 3, "x", None)], "k int, o int, p string, q string"), "k", ["o"], ["p", "q"]).first()
     assert (first.p, first.q) == ("x", "a")
 
