@@ -559,3 +559,29 @@ def test_drawn():
                     seen[j] = around
                     assert (b" " + b" ".join(ws[lo + j : lo + j + 50]) + b" ").find(b" ".join(around.split()[1:])) >= 0
             assert sorted(seen) == list(range(n + 1))
+
+
+def test_pipeline_cases(spark, docs):
+    """Nulls, repeated rows, clashing columns and an empty table through all stages."""
+    import corpus_pipeline
+
+    more = docs.selectExpr("*", "1 as k1", "2 as k2", "3 as rep", "4 as root", "5 as p", "6 as _h", "7 as __quern_keep", "8 as early", "9 as c", "'y' as x", "10 as n", "11 as key")
+    for d in (more, more.limit(0)):
+        n = d.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = common.cut(stage(spark, d, SF))
+            assert set(d.columns) <= set(out.columns) and (name == "bpe" or out.columns == d.columns) and out.count() <= d.count()
+            d = out
+        assert (d.count() > 0) == (n > 0)
+    kept = simhash.keep_one(more)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "3", "4", "7", "8", "None"])
+    assert decontam.clean(more, spark.createDataFrame([], "item_id long, text string"), min_items=1).count() == len(ROWS) and secrets.redact(more).where("text is null").count() == 1
+
+
+def test_quality_held_out(spark):
+    """Accuracy on labelled rows that weren't learned from, with and without what hosts and paths add."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = labels.where("doc_id % 3 = 1")
+    out = quality.classify(docs, labels.where("doc_id % 3 <> 1")).join(held, "doc_id").select("quality", "p", "low").collect()
+    right = lambda c: np.mean([(getattr(r, c) < 0.5) == bool(r.quality) for r in out])
+    assert len(out) > 100 and right("low") > 0.8 and right("low") >= right("p") - 0.02
