@@ -74,27 +74,43 @@ def descendants(edges: DataFrame, roots: DataFrame, etype: str) -> DataFrame:
     return edges.where(F.col("etype") == etype).join(roots, edges.src == roots.id, "left_semi").select(F.col("src").alias("id"), F.col("dst").alias("target")).distinct()
 
 
+#: Rounds of PageRank between two writes.
+ROUNDS = 5
+
+
 def pagerank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, rounds: int = 100, tol: float = 1e-4) -> DataFrame:
     """id, score of every node of an edge and every seed: personalized PageRank over the weighted undirected projection, until a round
     changes the scores by less than tol in sum, or for a number of rounds. What a seed without an edge holds goes back to the seeds. Seeds
-    are nodes of the graph; without any there are no rows. Lineage is cut every round."""
+    are nodes of the graph; without any there are no rows. A few rounds are one job, which keeps the scores of each, and are then written."""
     p = projection(edges)
     both = p.select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight").unionByName(p.select(F.col("b").alias("src"), F.col("a").alias("dst"), "weight"))
     out = both.groupBy("src").agg(F.sum("weight").alias("total"))
-    step = cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+    step = cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"), F.lit(False).alias("own")))
     seeds = cut(seeds.select("id").distinct())
     n = seeds.count()
-    linked = step.select(F.col("src").alias("id"), F.lit(True).alias("linked")).distinct()
-    nodes = linked.join(seeds.select("id", F.lit(1.0 / max(1, n)).alias("p")), "id", "full").where(F.lit(n > 0))
-    state = cut(nodes.select("id", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("linked", F.lit(False)).alias("linked")).withColumn("score", F.col("p")))
-    for _ in range(rounds):
-        loose = state.where("not linked").agg(F.sum("score")).first()[0] or 0.0
-        moved = state.join(step, state.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("share")).alias("m"))
-        new = (1 - alpha + alpha * loose) * F.col("p") + alpha * F.coalesce("m", F.lit(0.0))
-        state = cut(state.join(moved, "id", "left").select("id", "p", "linked", new.alias("score"), F.abs(new - F.col("score")).alias("change")))
-        if (state.agg(F.sum("change")).first()[0] or 0.0) < tol:
-            break
-    return state.select("id", "score")
+    if not n:
+        return step.select(F.col("src").alias("id"), "share").where(F.lit(False)).withColumnRenamed("share", "score")
+    linked = step.select(F.col("src").alias("id")).distinct()
+    state = cut(linked.join(seeds.withColumn("p", F.lit(1.0 / n)), "id", "full").select("id", F.coalesce("p", F.lit(0.0)).alias("p")).withColumn("s0", F.col("p")))
+    # a node's own row goes along with what comes to it, so that a round is one join
+    step = cut(step.unionByName(state.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("share"), F.lit(True).alias("own"))))
+    alone = seeds.join(linked, "id", "left_anti").count() / n
+    loose, done = alone, 0
+    while True:
+        size, now = min(ROUNDS, rounds - done), state
+        for i in range(1, size + 1):
+            leak = 1 - alpha + alpha * loose
+            loose = leak * alone
+            keep = [F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("p", *(f"s{k}" for k in range(i)))]
+            now = now.join(step, now.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col(f"s{i - 1}") * F.col("share")).alias("m"), *keep)
+            now = now.withColumn(f"s{i}", leak * F.col("p") + alpha * F.col("m")).drop("m")
+        now = cut(now)
+        done += size
+        change = now.agg(*[F.sum(F.abs(F.col(f"s{i}") - F.col(f"s{i - 1}"))).alias(f"c{i}") for i in range(1, size + 1)]).first()
+        last = next((i for i in range(1, size + 1) if (change[f"c{i}"] or 0.0) < tol), None)
+        if last is not None or done >= rounds:
+            return now.select("id", F.col(f"s{last or size}").alias("score"))
+        state = now.select("id", "p", F.col(f"s{size}").alias("s0"))
 
 
 def ranked(edges: DataFrame, seeds: DataFrame, k: int = 10, documents: str = "doc:", **more: float) -> DataFrame:
