@@ -113,3 +113,30 @@ def region_scalars(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     size = F.when(c("id") % 4 == 0, 20.2).when(c("id") % 4 == 1, 16.0).otherwise(11.0)
     return _words(spark, sf).select("id", layout.region_hash(c("page"), c("x0"), c("top"), c("x1"), c("bottom"), F.array(c("text"), F.lit("a"))).alias("hash"), layout.usable(c("x1") - c("x0"), c("bottom") - c("top"), 480000.0).alias("usable"), layout.heading_level(size, F.array(F.lit(20.0), F.lit(16.2))).alias("level"))
+
+
+_SEE = "'See ' || url || ').' || chr(10) || 'no link here' || chr(10) || 'and <' || url || '?page=' || page_id || '>, \"' || url || '\"'"
+
+
+@query(rf"""SELECT page_id, url, line AS context FROM (SELECT page_id, line, unnest(regexp_extract_all(line, 'https?://[^ \t\n\r<>"'')]+[A-Za-z0-9/]')) AS url FROM (SELECT page_id, unnest(string_split({_SEE}, chr(10))) AS line FROM pages))""")
+def printed_page_urls(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import links
+
+    pages = load(spark, sf, "pages").select("page_id", F.expr(_SEE).alias("text"))
+    return links.printed_urls(lines.lines(pages, "page_id"), "page_id")
+
+
+_PATHS = "'intro' || chr(10) || '# ' || p_brand || chr(10) || 'a' || chr(10) || '## ' || p_type || ' #' || chr(10) || 'b' || chr(10) || '```' || chr(10) || '# no' || chr(10) || '```' || chr(10) || '# Z' || chr(10) || '### Deep' || chr(10) || 'c'"
+
+
+@query("""SELECT p_partkey AS doc_id, pos::INT AS pos, CASE WHEN pos < 3 THEN p_brand WHEN pos < 8 THEN p_brand || ' › ' || p_type WHEN pos = 8 THEN 'Z' ELSE 'Z › Deep' END AS breadcrumb FROM (SELECT *, unnest(range(1, 11)) AS pos FROM part)""")
+def heading_paths(spark: SparkSession, sf: str) -> DataFrame:
+    own = load(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), F.expr(_PATHS).alias("text"))
+    return lines.breadcrumbs(lines.lines(own)).where("breadcrumb <> ''").select("doc_id", "pos", "breadcrumb")
+
+
+@query("SELECT o_orderkey AS id, o_orderkey + 1 AS target FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey + 1 NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)")
+def dangling_relations(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = load(spark, sf, "orders")
+    return o.where(k % 3 == 0).select(k.alias("id"), (k + 1).alias("target")).join(o.where(k % 2 == 0).select(k.alias("target")), "target", "left_anti").select("id", "target")
