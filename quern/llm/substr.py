@@ -29,6 +29,8 @@ from .common import cut, cut_parquet, join_stats, row_key, tune
 
 #: Words of a window, words of an anchor's prefix, suffixes of a prefix from which equal ones are made one, suffixes of a group in memory.
 W, K, HOT, GROUP = 50, 8, 512, 16_384
+#: Different suffixes under a hot prefix from which it grows: few, so that no task gets many of one prefix.
+BLOCKS = 256
 #: Into how many ranges the words left of an anchor are parted, as prefixes grow.
 RANGES = (4, 16)
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -333,7 +335,7 @@ def removed_windows(docs: DataFrame, w: int = W, k: int = K, hot: int = HOT, gro
     found = each.join(shared, "key").groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "p", "lo", "hi", "hot")).alias("found"))
     entries = cut_parquet(_entries(keyed.join(found, ["k1", "k2"]).select("k1", "k2", "text", "found"), w))
     cold = _trees(entries.where("not hot"), w, group).select("k1", "k2", F.array(F.struct("a", "b")).alias("runs"))
-    runs = cold.unionByName(_hot(entries.where("hot"), w, k, group)).groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    runs = cold.unionByName(_hot(entries.where("hot"), w, k, min(group, BLOCKS))).groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     return cut(runs.withColumn("copied", F.lit(False)).unionByName(copied.select("k1", "k2", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("runs"), F.lit(True).alias("copied"))))
 
 
