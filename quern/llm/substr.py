@@ -307,11 +307,13 @@ def _block_repeats(blocks: DataFrame, w: int, k: int, size: int) -> DataFrame:
 def _hot(entries: DataFrame, w: int, k: int, size: int) -> DataFrame:
     """k1, k2, runs, of suffixes under hot prefixes. Suffixes with the same words are one block, and all but the block's first document lose all its
     windows; what the first one loses is found among blocks."""
-    blocks = entries.groupBy("d1", "d2").agg(F.min("k1").alias("least"), *[F.first(c).alias(c) for c in ("key", "off", "n", "left", "right")])
-    blocks = cut_parquet(blocks.withColumns({"key2": F.lit(0).cast("long"), "shift": F.lit(0)}).select(*[c.split()[0] for c in BLOCK.split(", ")]))
-    earlier = _block_repeats(blocks, w, k, size).groupBy("d1", "d2").agg(F.collect_list(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("js"))
-    of_block = cut(blocks.select("d1", "d2", "least").join(earlier, ["d1", "d2"], "left"))
-    joined = entries.select("d1", "d2", "k1", "k2", "starts", "n").join(of_block, ["d1", "d2"])
+    names = [c.split()[0] for c in BLOCK.split(", ")]
+    blocks = entries.groupBy("d1", "d2").agg(F.min("k1").alias("least"), F.count("*").alias("holders"), *[F.first(c).alias(c) for c in ("key", "off", "n", "left", "right")])
+    blocks = cut_parquet(blocks.withColumns({"key2": F.lit(0).cast("long"), "shift": F.lit(0)}).select(*names, "holders"))
+    earlier = _block_repeats(blocks.select(*names), w, k, size).groupBy("d1", "d2").agg(F.collect_list(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("js"))
+    # a block has a run for each of its windows at most, so its row is small; one that many documents hold is dealt to many tasks
+    of_block = cut(blocks.select("d1", "d2", "least", F.col("holders").alias("m")).join(earlier, ["d1", "d2"], "left"))
+    joined = join_stats(entries.select("d1", "d2", "k1", "k2", "starts", "n"), of_block, ["d1", "d2"], "m", "inner")
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     js = F.when(F.col("least") < F.col("k1"), F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))).otherwise(F.coalesce("js", none))
     pairs = F.flatten(F.transform("starts", lambda s: F.transform(js, lambda j: F.struct((s + j["lo"]).cast("long").alias("a"), (s + j["hi"]).cast("long").alias("b")))))
