@@ -98,8 +98,18 @@ def sections(ls: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def citation_sections(ls: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, start, body: the text under each heading of citations."""
-    chosen = sections(ls, id_col).where(is_citation_heading(F.col("title"))).select(id_col, "start", "stop")
-    inside = (F.col("pos") > F.col("start")) & (F.col("stop").isNull() | (F.col("pos") < F.col("stop")))
-    body = ls.join(chosen, id_col).where(inside).groupBy(id_col, "start").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("x"))
+    """id, start, body: the text under each heading of citations. One pass over the lines of a document, without a join: a line is in the last
+    section of each level before it, unless a higher heading came since; so a line may be in several."""
+    before = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    own = lines.headings(ls, id_col).withColumn("cites", is_citation_heading(F.col("title")))
+    for n in range(1, 7):
+        own = own.withColumn(f"_h{n}", F.last(F.when(F.col("level") == n, F.struct("pos", "cites")), ignorenulls=True).over(before))
+    open_at = []
+    for n in range(1, 7):
+        live = F.coalesce(F.col("level") > n, F.lit(True)) & F.col(f"_h{n}.cites")
+        for m in range(1, n):
+            live &= F.col(f"_h{n}.pos") > F.coalesce(F.col(f"_h{m}.pos"), F.lit(-1))
+        open_at.append(F.when(live, F.col(f"_h{n}.pos")))
+    inside = own.select(id_col, "pos", "line", F.explode(F.array_compact(F.array(*open_at))).alias("start"))
+    body = inside.groupBy(id_col, "start").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("x"))
     return body.select(id_col, "start", F.btrim(F.array_join(F.transform("x", lambda x: x["line"]), "\n"), F.lit(" \t\n")).alias("body")).where("body <> ''")

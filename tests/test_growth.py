@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from quern.operators import layout
+from quern.operators import headings, layout, lines
 
 
 def _plan(df: DataFrame) -> str:
@@ -42,3 +43,18 @@ def test_columns_are_found_without_bins(spark):
     assert "Generate" not in _plan(found)
     want = {p: s for p, ws in pages.items() if p != 81 and (s := _split(ws, 600.0)) is not None} | {81: 266.0}
     assert len(want) > 10 and {r.page: r.split for r in found.collect()} == want
+
+
+def test_citation_sections_need_no_join(spark):
+    rng = random.Random(6)
+    parts = ["# References", "## Notes:", "### 2. Further reading", "# Body", "## Sub", "#### Deep", "a", "b ", "", "```", "###### Sources", "##### x"]
+    docs = [(i, "\n".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))) for i in range(120)] + [(120, None)]
+    ls = lines.lines(spark.createDataFrame(docs, "doc_id int, text string"))
+    got = headings.citation_sections(ls)
+    assert "Join" not in _plan(got)
+    text = {(r.doc_id, r.pos): r.line for r in ls.collect()}
+    want = set()
+    for s in headings.sections(ls).where(headings.is_citation_heading(F.col("title"))).collect():
+        body = "\n".join(v for (d, p), v in sorted(text.items()) if d == s.doc_id and p > s.start and (s.stop is None or p < s.stop)).strip(" \t\n")
+        want |= {(s.doc_id, s.start, body)} if body else set()
+    assert len(want) > 50 and {tuple(r) for r in got.collect()} == want
