@@ -74,43 +74,60 @@ def descendants(edges: DataFrame, roots: DataFrame, etype: str) -> DataFrame:
     return edges.where(F.col("etype") == etype).join(roots, edges.src == roots.id, "left_semi").select(F.col("src").alias("id"), F.col("dst").alias("target")).distinct()
 
 
-#: Rounds of PageRank between two writes.
-ROUNDS = 5
+#: Rounds of PageRank between two writes, and the most neighbours by which nodes are compared.
+ROUNDS, TWINS = 5, 8
+
+
+def twins(linked: DataFrame, apart: DataFrame) -> DataFrame:
+    """id, twin, n: the nodes of up to TWINS neighbours, of linked (src, dst, weight, degree), that have the same neighbours by the same weights as
+    another; twin is the least of the n alike. Nodes of apart (id) have no twin."""
+    few = linked.where(F.col("degree") <= TWINS).join(apart, F.col("src") == F.col("id"), "left_anti")
+    near = few.groupBy("src").agg(F.sort_array(F.collect_list(F.struct("dst", "weight"))).alias("near"))
+    alike = near.groupBy("near").agg(F.min("src").alias("twin"), F.count("*").alias("n")).where("n > 1")
+    return near.join(alike, "near").select(F.col("src").alias("id"), "twin", "n")
 
 
 def pagerank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, rounds: int = 100, tol: float = 1e-4) -> DataFrame:
     """id, score of every node of an edge and every seed: personalized PageRank over the weighted undirected projection, until a round
     changes the scores by less than tol in sum, or for a number of rounds. What a seed without an edge holds goes back to the seeds. Seeds
-    are nodes of the graph; without any there are no rows. A few rounds are one job, which keeps the scores of each, and are then written."""
+    are nodes of the graph; without any there are no rows. A few rounds are one job, which keeps the scores of each, and are then written.
+    Nodes alike in their neighbours have one score in every round, and each is next to all or none of another such group: the rounds are
+    over one node of each group, which stands for n."""
     p = projection(edges)
     both = p.select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight").unionByName(p.select(F.col("b").alias("src"), F.col("a").alias("dst"), "weight"))
-    out = both.groupBy("src").agg(F.sum("weight").alias("total"))
-    step = cut(both.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"), F.lit(False).alias("own")))
+    linked = cut(both.join(both.groupBy("src").agg(F.sum("weight").alias("total"), F.count("*").alias("degree")), "src"))
     seeds = cut(seeds.select("id").distinct())
-    n = seeds.count()
-    if not n:
-        return step.select(F.col("src").alias("id"), "share").where(F.lit(False)).withColumnRenamed("share", "score")
-    linked = step.select(F.col("src").alias("id")).distinct()
-    state = cut(linked.join(seeds.withColumn("p", F.lit(1.0 / n)), "id", "full").select("id", F.coalesce("p", F.lit(0.0)).alias("p")).withColumn("s0", F.col("p")))
+    n_seeds = seeds.count()
+    if not n_seeds:
+        return linked.select(F.col("src").alias("id"), (F.col("weight") / F.col("total")).alias("score")).where(F.lit(False))
+    same = cut(twins(linked, seeds))
+    gone, first = same.where("id <> twin").select("id", "twin"), same.where("id = twin").select("id", "n")
+    left = linked.join(gone.select(F.col("id").alias("src")), "src", "left_anti").join(gone.select(F.col("id").alias("dst")), "dst", "left_anti")
+    left = left.join(first.withColumnRenamed("id", "src"), "src", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    step = cut(left.select("src", "dst", "n", (F.col("n") * F.col("weight") / F.col("total")).alias("share"), F.lit(False).alias("own")))
+    nodes = step.select(F.col("src").alias("id"), "n").distinct()
+    start = nodes.join(seeds.withColumn("p", F.lit(1.0 / n_seeds)), "id", "full").select("id", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("p", F.lit(0.0)).alias("p"))
+    state = cut(start.withColumn("s0", F.col("p")))
     # a node's own row goes along with what comes to it, so that a round is one join
-    step = cut(step.unionByName(state.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("share"), F.lit(True).alias("own"))))
-    alone = seeds.join(linked, "id", "left_anti").count() / n
+    step = cut(step.drop("n").unionByName(state.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("share"), F.lit(True).alias("own"))))
+    alone = seeds.join(nodes, "id", "left_anti").count() / n_seeds
     loose, done = alone, 0
     while True:
         size, now = min(ROUNDS, rounds - done), state
         for i in range(1, size + 1):
             leak = 1 - alpha + alpha * loose
             loose = leak * alone
-            keep = [F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("p", *(f"s{k}" for k in range(i)))]
+            keep = [F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("n", "p", *(f"s{k}" for k in range(i)))]
             now = now.join(step, now.id == step.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col(f"s{i - 1}") * F.col("share")).alias("m"), *keep)
             now = now.withColumn(f"s{i}", leak * F.col("p") + alpha * F.col("m")).drop("m")
         now = cut(now)
         done += size
-        change = now.agg(*[F.sum(F.abs(F.col(f"s{i}") - F.col(f"s{i - 1}"))).alias(f"c{i}") for i in range(1, size + 1)]).first()
+        change = now.agg(*[F.sum(F.col("n") * F.abs(F.col(f"s{i}") - F.col(f"s{i - 1}"))).alias(f"c{i}") for i in range(1, size + 1)]).first()
         last = next((i for i in range(1, size + 1) if (change[f"c{i}"] or 0.0) < tol), None)
         if last is not None or done >= rounds:
-            return now.select("id", F.col(f"s{last or size}").alias("score"))
-        state = now.select("id", "p", F.col(f"s{size}").alias("s0"))
+            scores = now.select("id", F.col(f"s{last or size}").alias("score"))
+            return scores.unionByName(gone.join(scores.withColumnRenamed("id", "twin"), "twin").select("id", "score"))
+        state = now.select("id", "n", "p", F.col(f"s{size}").alias("s0"))
 
 
 def ranked(edges: DataFrame, seeds: DataFrame, k: int = 10, documents: str = "doc:", **more: float) -> DataFrame:

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators import headings, layout, lines
+from quern.operators import graph, headings, layout, lines
 
 
 def _plan(df: DataFrame) -> str:
@@ -58,3 +58,27 @@ def test_citation_sections_need_no_join(spark):
         body = "\n".join(v for (d, p), v in sorted(text.items()) if d == s.doc_id and p > s.start and (s.stop is None or p < s.stop)).strip(" \t\n")
         want |= {(s.doc_id, s.start, body)} if body else set()
     assert len(want) > 50 and {tuple(r) for r in got.collect()} == want
+
+
+def test_pagerank_rounds_leave_out_twins(spark, monkeypatch):
+    rng = random.Random(7)
+    edges = [(f"d{i}", f"h{h}") for i in range(300) for h in rng.choice([[0], [1], [1, 2], [0, 0, 3], [2, 3]])] + [("h0", "h1"), ("d0", "d1")]
+    weight: dict = {}
+    for a, b in edges:
+        for x, y in ((a, b), (b, a)):
+            weight.setdefault(x, {})[y] = weight.get(x, {}).get(y, 0) + 1
+    seeds = ["d5", "h2", "lone"]
+    p = {n: (n in seeds) / 3 for n in {*weight, *seeds}}
+    rank = dict(p)
+    for _ in range(9):
+        new = {n: (0.15 + 0.85 * rank["lone"]) * p[n] for n in p}
+        for n, to in weight.items():
+            for m, w in to.items():
+                new[m] += 0.85 * rank[n] * w / sum(to.values())
+        rank = new
+    sizes = []
+    monkeypatch.setattr(graph, "cut", lambda df, cut=graph.cut: sizes.append((out := cut(df)).count()) or out)
+    scores = graph.pagerank(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(s,) for s in seeds], "id string"), rounds=9, tol=0.0)
+    got = {r.id: r.score for r in scores.collect()}
+    assert got.keys() == rank.keys() and all(abs(got[n] - rank[n]) < 1e-12 for n in rank)
+    assert sizes[-1] < 20
