@@ -112,17 +112,22 @@ def bindings(results: DataFrame, json_col: str, names: Sequence[str]) -> DataFra
     """Rows of SPARQL results in JSON, one column a variable; null where a row doesn't bind it. Adds ordinal, the place in the results."""
     value = "struct<value:string>"
     schema = f"struct<results:struct<bindings:array<struct<{','.join(f'{n}:{value}' for n in names)}>>>>"
-    each = results.select(F.posexplode(F.from_json(json_col, schema)["results"]["bindings"]).alias("ordinal", "x"))
+    # the outer form, for of the inner one Spark makes a filter that parses each text again
+    each = results.select(F.posexplode_outer(F.from_json(json_col, schema)["results"]["bindings"]).alias("ordinal", "x")).where("ordinal is not null")
     return each.select("ordinal", *[F.col(f"x.{n}.value").alias(n) for n in names])
 
 
 def group_acts(rows: DataFrame, order: str = "ordinal") -> DataFrame:
     """celex, date, title, authors, concepts: the first date and title there are, authors in order of appearance, concepts as a set. Rows of an
-    act are its authors times its concepts, so the arrays are small."""
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
-    authors = F.array_sort(F.collect_list(F.when(filled(F.col("author")).isNotNull(), F.struct(F.col(order).alias("o"), F.col("author").alias("a")))))
-    groups = rows.where(filled(F.col("celex")).isNotNull()).groupBy("celex").agg(first("date").alias("date"), first("title").alias("title"), authors.alias("a"), F.sort_array(F.collect_set("concept")).alias("concepts"))
-    return groups.select("celex", "date", "title", F.array_distinct(F.transform("a", lambda x: x["a"])).alias("authors"), "concepts")
+    act are its authors times its concepts, so the arrays are small. As windows: arrays as aggregates would be sorted and written twice."""
+    each = Window.partitionBy("celex").orderBy(order, "author")
+    act = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = lambda c: F.first(F.when(F.col(order).isNotNull(), F.col(c)), ignorenulls=True).over(act)
+    authors = F.collect_list(F.when(filled(F.col("author")).isNotNull(), F.col("author"))).over(act)
+    groups = rows.where(filled(F.col("celex")).isNotNull()).select(
+        "celex", first("date").alias("date"), first("title").alias("title"), authors.alias("a"), F.collect_set("concept").over(act).alias("c"), F.row_number().over(each).alias("_k")
+    )
+    return groups.where("_k = 1").select("celex", "date", "title", F.array_distinct("a").alias("authors"), F.sort_array("c").alias("concepts"))
 
 
 def act_type(celex: Column) -> Column:

@@ -62,7 +62,7 @@ def act_candidates(spark: SparkSession, sf: str) -> DataFrame:
     j = _view(spark, sf, f"SELECT l_linenumber, l_partkey, l_suppkey, {_JS} AS body FROM lineitem", "lineitem")
     names = ["celex", "title", "date", "author", "concept"]
     rows = j.select("l_linenumber", "l_partkey", "l_suppkey", F.from_json("body", f"struct<results:struct<bindings:array<struct<{','.join(f'{n}:struct<value:string>' for n in names)}>>>>")["results"]["bindings"].alias("b"))
-    rows = rows.select(F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("ordinal"), F.explode("b").alias("x")).select("ordinal", *[F.col(f"x.{n}.value").alias(n) for n in names])
+    rows = rows.select(F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("ordinal"), F.explode_outer("b").alias("x")).where("x is not null").select("ordinal", *[F.col(f"x.{n}.value").alias(n) for n in names])
     c = mapping.act_row(mapping.group_acts(rows))
     return c.select("native_id", "title", "issuer", "doc_date", "source_url", F.array_join("native_tags", "|").alias("native_tags"), "raw_hash")
 

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators import graph, headings, layout, lines
+from quern.operators import graph, headings, layout, lines, mapping
 
 
 def _plan(df: DataFrame) -> str:
@@ -82,3 +82,15 @@ def test_pagerank_rounds_leave_out_twins(spark, monkeypatch):
     got = {r.id: r.score for r in scores.collect()}
     assert got.keys() == rank.keys() and all(abs(got[n] - rank[n]) < 1e-12 for n in rank)
     assert sizes[-1] < 20
+
+
+def test_acts_are_parsed_and_grouped_once(spark):
+    row = '{"celex":{"value":"%s"},"title":{"value":"T%s"},"date":{"value":"d%s"},"author":{"value":"A%s"},"concept":{"value":"c%s"}}'
+    body = '{"results":{"bindings":[' + ",".join([row % v for v in [("x", 1, 1, 2, 9), ("y", 2, 2, 1, 1), ("x", 3, 3, 1, 3)]] + ['{"celex":{"value":"x"},"author":{"value":" "}}', '{"celex":{"value":" "}}', "{}"]) + "]}}"
+    results = spark.createDataFrame([(body,), (None,), ('{"results":{"bindings":[]}}',), ("no",)], "body string")
+    rows = mapping.bindings(results, "body", ["celex", "title", "date", "author", "concept"])
+    assert rows.count() == 6
+    got = mapping.group_acts(rows.where("ordinal > 0").unionByName(rows.where("ordinal = 0").withColumn("title", F.lit(None).cast("string"))))
+    assert {r.celex: tuple(r)[1:] for r in got.collect()} == {"x": ("d1", "T3", ["A2", "A1"], ["c3", "c9"]), "y": ("d2", "T2", ["A1"], ["c1"])}
+    plan = _plan(mapping.group_acts(rows))
+    assert plan.count("from_json") == 1 and "Aggregate" not in plan
