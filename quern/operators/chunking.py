@@ -4,9 +4,9 @@ taken apart: a table by rows, with its header repeated; prose by sentences, then
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,9 @@ MARKUP_SHARE = 0.6
 MARKUP_LINE = r"^\s*(?:\||> \[)"
 FENCE = r"^\s*```"
 SCHEMA = "doc_id long, chunk_index int, breadcrumb string, text string, n_tokens int, reconstruction boolean"
+TYPES = {"doc_id": pa.int64(), "chunk_index": pa.int32(), "breadcrumb": pa.string(), "text": pa.string(), "n_tokens": pa.int32(), "reconstruction": pa.bool_()}
+# Characters of chunks that are held before they are handed on.
+HELD = 1 << 22
 
 
 def count_words(text: str) -> int:
@@ -141,15 +144,36 @@ def chunk_text(text: str | None, budget: int = 512, count: Callable[[str], int]
     yield from out(held)
 
 
+def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of SCHEMA as Arrow batches that are closed as soon as their texts reach HELD characters."""
+    held: list[tuple] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), TYPES.values(), strict=True)], names=list(TYPES))
+
+    for r in rows:
+        held.append(r)
+        size += len(r[3]) + 64
+        if size >= HELD:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
 def chunks(docs: DataFrame, budget: int = 512, count: Callable[[str], int] = count_words) -> DataFrame:
+    """The chunks of documents (doc_id, text). A worker holds one Arrow batch of its input, one text of it and HELD characters of its output."""
     ship(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            rows = [(d, i, *c) for d, text in zip(b["doc_id"], b["text"], strict=True) for i, c in enumerate(chunk_text(text, budget, count))]
-            yield pd.DataFrame(rows, columns=["doc_id", "chunk_index", "breadcrumb", "text", "n_tokens", "reconstruction"])
+            for d, text in zip(b.column(0), b.column(1), strict=True):
+                key = d.as_py()
+                for i, c in enumerate(chunk_text(text.as_py(), budget, count)):
+                    yield key, i, *c
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _batches(rows(batches)), SCHEMA)
 
 
 def markup_lines(text: Column) -> Column:

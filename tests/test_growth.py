@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators import graph, headings, layout, lines, mapping
+from quern.operators import chunking, graph, headings, layout, lines, mapping
 
 
 def _plan(df: DataFrame) -> str:
@@ -94,3 +95,24 @@ def test_acts_are_parsed_and_grouped_once(spark):
     assert {r.celex: tuple(r)[1:] for r in got.collect()} == {"x": ("d1", "T3", ["A2", "A1"], ["c3", "c9"]), "y": ("d2", "T2", ["A1"], ["c1"])}
     plan = _plan(mapping.group_acts(rows))
     assert plan.count("from_json") == 1 and "Aggregate" not in plan
+
+
+def test_chunks_are_handed_on_as_they_are_made(spark, monkeypatch):
+    monkeypatch.setattr(chunking, "HELD", 100_000)
+    texts = [f"# T{i}\n\n" + "\n\n".join(f"word{j} " * 40 for j in range(300)) for i in range(12)]
+    ids = [2**53 + 1 + i for i in range(12)] + [None, 7]
+    sizes = []
+
+    def seen(batch):
+        sizes.append(batch.num_rows)
+        return batch
+
+    rows = ((d, i, *c) for d, t in zip(ids, [*texts, None, "a\n\n# B\n\nb"], strict=True) for i, c in enumerate(chunking.chunk_text(t, 50)))
+    made = [r for b in map(seen, chunking._batches(rows)) for r in b.to_pylist()]
+    assert len(sizes) > 5 and all(sum(len(r["text"]) for r in made[i : i + n]) <= 101_000 for i, n in zip(accumulate([0, *sizes]), sizes, strict=False))
+    docs = spark.createDataFrame(list(zip(ids, [*texts, None, "a\n\n# B\n\nb"], strict=True)), "doc_id long, text string")
+    got = chunking.chunks(docs, 50)
+    assert "MapInArrow" in _plan(got)
+    key = lambda r: (r["doc_id"] or 0, r["chunk_index"])
+    assert sorted((r.asDict() for r in got.collect()), key=key) == sorted(made, key=key)
+    assert {r["doc_id"] for r in made} == {*ids} - {None}
